@@ -125,7 +125,7 @@ def card_attributes(offers: DataFrame, tz: Column | str | None = None) -> DataFr
     reasons = F.coalesce(F.concat(F.lit(" ・ "), lists["suspicion_reasons"]), F.lit(""))
     attributes = [
         ("Context", F.when(is_finite(tokens) & (tokens != 0),
-                           F.concat(F.format_number(tokens, "#,##0.###"), F.lit(" tokens")))),
+                           F.concat(F.call_function("format_number", tokens, F.lit("#,##0.###")), F.lit(" tokens")))),
         ("Tool calling", F.when(c("tool_calling"), "対応").when(~c("tool_calling"), "非対応")),
         ("Base URL", when_text("base_url")),
         ("Model ID", when_text("model_id")),

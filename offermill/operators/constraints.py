@@ -39,9 +39,8 @@ def _when(broken: Column, rule: str, message: Column) -> Column:
 
 
 def _rows(table: DataFrame, domain: str, rules: Column) -> DataFrame:
-    return table.select(
-        F.lit(domain).alias("domain"), F.col("pos").cast("long").alias("pos"), F.explode(rules).alias("v")
-    ).select("domain", "pos", "v.*")
+    broken = table.select(F.col("pos").cast("long").alias("at"), F.explode(rules).alias("v"))
+    return broken.select(F.lit(domain).alias("domain"), F.col("at").alias("pos"), "v.*")
 
 
 def _label(domain: str) -> Column:

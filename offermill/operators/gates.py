@@ -17,7 +17,7 @@ from ..functions.policy import DEFAULT, Policy, holds
 from ..functions.text import (
     citation_supports, has_text, is_http_url, json_text, number_text,
 )
-from ..session import stage
+from ..session import bind, stage
 from ..sources.registry import entries
 from .matching import provider_match, registry_value
 from .skew import split_hot_keys
@@ -254,7 +254,7 @@ def _discount() -> Column:
 
 
 def _gate(offers: DataFrame, reason: Column) -> DataFrame:
-    return offers.withColumn("gate_reason", F.when(eligible_ranked(), reason))
+    return bind(offers, gate_reason=F.when(eligible_ranked(), reason))
 
 
 def gate_endpoint(offers: DataFrame, registry: DataFrame) -> DataFrame:
@@ -295,9 +295,7 @@ def gate_deprecated(offers: DataFrame) -> DataFrame:
 
 
 def gate_discount(offers: DataFrame) -> DataFrame:
-    return offers.withColumn(
-        "gate_reason", F.when(F.col("section") == "discount_offers", _discount())
-    )
+    return bind(offers, gate_reason=F.when(F.col("section") == "discount_offers", _discount()))
 
 
 # -------------------------------------------------------------- citation gate
@@ -375,10 +373,16 @@ def apply_gates(
     df = provider_match(offers, registry)
     if pages is not None:
         df = join_citations(df, pages)
-    df = df.withColumns({"_broken": schema_reason(contract), "_class_fixed": _class_is_bad(policy)})
+    broken = schema_reason(contract)
+    df = df.withColumns(
+        {
+            "_broken": broken,
+            "_class_fixed": _class_is_bad(policy),
+            "_allowance_fixed": eligible_ranked() & broken.isNull() & _allowance_is_bad(),
+        }
+    )
 
     ranked = eligible_ranked() & F.col("_broken").isNull()
-    allowance_fixed = ranked & _allowance_is_bad()
     reasons = {
         "endpoint": _endpoint(entries(registry)),
         "citation": _citation() if pages is not None else F.lit(None).cast("string"),
@@ -410,7 +414,7 @@ def apply_gates(
 
     fixes = F.array_compact(
         F.array(
-            fix(allowance_fixed, "allowance", F.lit(fv.DETAIL_ALLOWANCE)),
+            fix(F.col("_allowance_fixed"), "allowance", F.lit(fv.DETAIL_ALLOWANCE)),
             fix(
                 F.col("_class_fixed"),
                 "classification",
@@ -418,12 +422,11 @@ def apply_gates(
             ),
         )
     )
-    df = df.withColumns(
+    df = bind(df, reason=reason).withColumns(
         {
-            "reason": reason,
             "failed_gates": failed,
             "fixes": fixes,
-            "free_allowance_rank": F.when(allowance_fixed, "NORMAL").otherwise(F.col("free_allowance_rank")),
+            "free_allowance_rank": F.when(F.col("_allowance_fixed"), "NORMAL").otherwise(F.col("free_allowance_rank")),
             "classification": F.when(F.col("_class_fixed"), "E_DISCOUNT").otherwise(F.col("classification")),
         }
     )
@@ -435,7 +438,7 @@ def apply_gates(
             "ranking_eligible": F.when(failed_any, F.lit(False)).otherwise(F.col("ranking_eligible")),
             "exclusion_reason": F.coalesce("reason", "exclusion_reason"),
         }
-    ).drop("_broken", "_class_fixed")
+    ).drop("_broken", "_class_fixed", "_allowance_fixed")
 
 
 def checked_offers(gated: DataFrame) -> DataFrame:

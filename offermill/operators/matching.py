@@ -9,6 +9,7 @@ from pyspark.errors import PySparkException
 
 from .. import fixed_values as fv
 from ..functions.text import has_text, text_or_null
+from ..session import bind
 from ..sources.registry import entries
 
 
@@ -51,8 +52,7 @@ def provider_match(offers: DataFrame, registry: DataFrame) -> DataFrame:
             " ", *[F.coalesce(F.col(c), F.lit("")) for c in ("base_url", "provider", "name")]
         )
     )
-    # One number carries both results, so the chain is evaluated once per row:
-    # idx for a URL match, -1 - idx for a text match.
+    # One number carries both results: idx for a URL match, -1 - idx for a text match.
     code = F.lit(None).cast("int")
     branches: list[tuple[Column, int]] = []
     for r in rows:
@@ -72,7 +72,7 @@ def provider_match(offers: DataFrame, registry: DataFrame) -> DataFrame:
         for condition, value in branches[1:]:
             code = code.when(condition, value)
     return (
-        offers.withColumn("_match", code)
+        bind(offers, _match=code)
         .withColumns(
             {
                 "provider_idx": F.when(F.col("_match") < 0, -1 - F.col("_match")).otherwise(F.col("_match")),

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 
 def build_session(app: str = "offermill", cores: str = "*", **conf: str) -> SparkSession:
@@ -16,7 +16,9 @@ def build_session(app: str = "offermill", cores: str = "*", **conf: str) -> Spar
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.shuffle.partitions", "8")
+        .config("spark.driver.memory", "8g")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
     )
     for key, value in conf.items():
         builder = builder.config(key, value)
@@ -44,3 +46,15 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     path = scratch_path(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def bind(df: DataFrame, **columns: Column) -> DataFrame:
+    """Add columns that are computed once per row, whatever is built on them.
+
+    A filter on a plain projected column is pushed below the projection and takes
+    the whole expression along, once for each mention. Chains of dozens of
+    patterns must not be repeated like that. A one-element explode keeps its
+    output a plain column; filters on other columns still pass it.
+    """
+    row = F.struct(*[c.alias(name) for name, c in columns.items()])
+    return df.select("*", F.inline(F.array(row)))

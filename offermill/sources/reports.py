@@ -89,16 +89,15 @@ def _explode(docs: DataFrame, section: str) -> DataFrame:
 
 def offers_of(docs: DataFrame) -> DataFrame:
     # One explode over a tagged array keeps it to a single pass over the text.
-    tagged = [
-        F.transform(
+    def tagged(index: int, section: str) -> Column:
+        return F.transform(
             F.coalesce(F.col(section), F.array().cast("array<string>")),
-            lambda raw, i, index=index, section=section: F.struct(
+            lambda raw, i: F.struct(
                 F.lit(section).alias("section"), F.lit(index).alias("index"), i.alias("pos"), raw.alias("raw")
             ),
         )
-        for index, section in enumerate(fv.OFFER_SECTIONS)
-    ]
-    rows = docs.select("run_id", "part", F.explode(F.concat(*tagged)).alias("o"))
+
+    rows = docs.select("run_id", "part", F.explode(F.concat(*[tagged(i, name) for i, name in enumerate(fv.OFFER_SECTIONS)])).alias("o"))
     pos = F.col("o.pos").cast("long")
     place = F.shiftleft("part", 32).bitwiseOR(pos)
     return rows.select(

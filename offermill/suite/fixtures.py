@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from .. import fixed_values as fv, schemas
+from ..session import bind
 
 
 class Spark:
@@ -250,7 +251,10 @@ def _with(df: DataFrame, columns: dict[str, str]) -> DataFrame:
 def flat_offers(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = table(spark, sf_dir, "orders")
     base = orders.select(*[F.expr(sql).alias(name) for name, sql in BASE.items()])
-    return _with(_with(base, level1(Spark)), LEVEL2)
+    first = level1(Spark)
+    # The columns most others build on are bound, so the rest behaves as if scanned.
+    bound = bind(base, **{name: F.expr(first.pop(name)) for name in ("section", "base_url", "eff_in", "eff_out", "score")})
+    return _with(_with(bound, first), LEVEL2)
 
 
 def _pair(left: str, right: str, absent: str):
