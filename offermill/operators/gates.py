@@ -17,9 +17,8 @@ from ..functions.policy import DEFAULT, Policy, holds
 from ..functions.text import (
     citation_supports, has_text, is_http_url, json_text, number_text,
 )
-from ..session import bind, stage
-from ..sources.registry import entries
-from .matching import provider_match, registry_value
+from ..session import stage
+from .matching import with_capability
 from .skew import split_hot_keys
 
 STEPS = (
@@ -149,26 +148,17 @@ def fix_classification(offers: DataFrame, policy: Policy = DEFAULT) -> DataFrame
 # -------------------------------------------------------------- single gates
 
 
-def _endpoint(rows) -> Column:
-    """Needs `provider_idx` and `by_url`."""
-    idx = F.col("provider_idx")
-
-    def known(name):
-        return registry_value(rows, name, idx)
-
+def _endpoint() -> Column:
+    """Needs `provider_idx`, `by_url` and `cap`."""
+    official = [F.col(f"cap.{name}") for name in ("label", "base_url", "docs_url")]
     return (
         F.when(~has_text(F.col("base_url")), fv.REASON_NO_BASE_URL)
         .when(~is_http_url(F.col("endpoint_source")), fv.REASON_NO_SOURCE)
         .when(
-            idx.isNull(),
+            F.col("provider_idx").isNull(),
             F.format_string(fv.REASON_UNKNOWN_PROVIDER, F.coalesce("provider", F.lit("null"))),
         )
-        .when(
-            ~F.col("by_url"),
-            F.format_string(
-                fv.REASON_CONTRADICTS, F.col("base_url"), known("label"), known("base_url"), known("docs_url")
-            ),
-        )
+        .when(~F.col("by_url"), F.format_string(fv.REASON_CONTRADICTS, F.col("base_url"), *official))
     )
 
 
@@ -254,12 +244,11 @@ def _discount() -> Column:
 
 
 def _gate(offers: DataFrame, reason: Column) -> DataFrame:
-    return bind(offers, gate_reason=F.when(eligible_ranked(), reason))
+    return offers.withColumn("gate_reason", F.when(eligible_ranked(), reason))
 
 
 def gate_endpoint(offers: DataFrame, registry: DataFrame) -> DataFrame:
-    matched = provider_match(offers, registry)
-    return _gate(matched, _endpoint(entries(registry)))
+    return _gate(with_capability(offers, registry), _endpoint()).drop("cap")
 
 
 def gate_free_claim(offers: DataFrame) -> DataFrame:
@@ -295,7 +284,9 @@ def gate_deprecated(offers: DataFrame) -> DataFrame:
 
 
 def gate_discount(offers: DataFrame) -> DataFrame:
-    return bind(offers, gate_reason=F.when(F.col("section") == "discount_offers", _discount()))
+    return offers.withColumn(
+        "gate_reason", F.when(F.col("section") == "discount_offers", _discount())
+    )
 
 
 # -------------------------------------------------------------- citation gate
@@ -370,7 +361,7 @@ def apply_gates(
     stay in their section, no longer eligible. Without `pages` the citation gate
     is off and the whole waterfall is one projection over the scan.
     """
-    df = provider_match(offers, registry)
+    df = with_capability(offers, registry)
     if pages is not None:
         df = join_citations(df, pages)
     broken = schema_reason(contract)
@@ -384,7 +375,7 @@ def apply_gates(
 
     ranked = eligible_ranked() & F.col("_broken").isNull()
     reasons = {
-        "endpoint": _endpoint(entries(registry)),
+        "endpoint": _endpoint(),
         "citation": _citation() if pages is not None else F.lit(None).cast("string"),
         "free-claim": _free_claim(),
         "size": _size(policy),
@@ -422,8 +413,9 @@ def apply_gates(
             ),
         )
     )
-    df = bind(df, reason=reason).withColumns(
+    df = df.withColumns(
         {
+            "reason": reason,
             "failed_gates": failed,
             "fixes": fixes,
             "free_allowance_rank": F.when(F.col("_allowance_fixed"), "NORMAL").otherwise(F.col("free_allowance_rank")),
@@ -438,7 +430,7 @@ def apply_gates(
             "ranking_eligible": F.when(failed_any, F.lit(False)).otherwise(F.col("ranking_eligible")),
             "exclusion_reason": F.coalesce("reason", "exclusion_reason"),
         }
-    ).drop("_broken", "_class_fixed", "_allowance_fixed")
+    ).drop("_broken", "_class_fixed", "_allowance_fixed", "cap")
 
 
 def checked_offers(gated: DataFrame) -> DataFrame:

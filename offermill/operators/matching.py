@@ -3,13 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Row, functions as F
 from pyspark.errors import PySparkException
 
 from .. import fixed_values as fv
 from ..functions.text import has_text, text_or_null
-from ..session import bind
 from ..sources.registry import entries
 
 
@@ -37,23 +37,17 @@ def _valid_patterns(df: DataFrame, rows: Sequence[Row]) -> set[int]:
     return {idx for idx, pattern in patterns.items() if _compiles(df, [pattern])}
 
 
-def provider_match(offers: DataFrame, registry: DataFrame) -> DataFrame:
-    """Add `provider_idx` and `by_url`.
+def _match_code(rows: Sequence[Row], valid: set[int]) -> Column:
+    """First match of an offer: idx for its URL, -1 - idx for its texts, null for none.
 
     The URL is tried against each pattern in registry order; only when none fits
-    are the matchers searched in URL, provider and name. The registry is small
-    and each pattern is a literal compiled once, so this is a projection: no join.
+    are the matchers searched in URL, provider and name. Each pattern is a literal
+    in the plan, compiled once.
     """
-    rows = entries(registry)
-    valid = _valid_patterns(offers, rows)
     url = text_or_null(F.col("base_url"))
     haystack = F.lower(
-        F.concat_ws(
-            " ", *[F.coalesce(F.col(c), F.lit("")) for c in ("base_url", "provider", "name")]
-        )
+        F.concat_ws(" ", *[F.coalesce(c, F.lit("")) for c in ("base_url", "provider", "name")])
     )
-    # One number carries both results: idx for a URL match, -1 - idx for a text match.
-    code = F.lit(None).cast("int")
     branches: list[tuple[Column, int]] = []
     for r in rows:
         if r.base_url_pattern is None:
@@ -61,42 +55,40 @@ def provider_match(offers: DataFrame, registry: DataFrame) -> DataFrame:
         elif r.idx in valid:
             branches.append((url.rlike(_java_pattern(r.base_url_pattern)), r.idx))
     for r in rows:
-        words = [haystack.contains(m.lower()) for m in r.match or []]
-        if words:
-            any_word = words[0]
-            for word in words[1:]:
-                any_word = any_word | word
-            branches.append((any_word, -1 - r.idx))
-    if branches:
-        code = F.when(branches[0][0], branches[0][1])
-        for condition, value in branches[1:]:
-            code = code.when(condition, value)
-    return (
-        bind(offers, _match=code)
-        .withColumns(
-            {
-                "provider_idx": F.when(F.col("_match") < 0, -1 - F.col("_match")).otherwise(F.col("_match")),
-                "by_url": F.col("_match") >= 0,
-            }
-        )
-        .drop("_match")
-    )
+        if r.match:
+            words = [haystack.contains(m.lower()) for m in r.match]
+            branches.append((reduce(Column.__or__, words), -1 - r.idx))
+    code = F.when(F.lit(False), F.lit(0))
+    for condition, value in branches:
+        code = code.when(condition, value)
+    return code
+
 
+def with_capability(offers: DataFrame, registry: DataFrame) -> DataFrame:
+    """Add `provider_idx`, `by_url` and the matched entry as `cap`, null for none.
 
-def registry_value(rows: Sequence[Row], field: str, idx: Column) -> Column:
-    """A text field of the matched entry, from a literal array in the plan."""
-    values = F.array(*[F.lit(getattr(r, field)).cast("string") for r in rows])
-    slots = F.array(*[F.lit(r.idx) for r in rows])
-    return F.get(values, F.array_position(slots, idx).cast("int") - 1)
+    The match is a projection. Its entry comes from a table with two rows per
+    entry, one for each way to match; `entries` has checked its size, so it is
+    broadcast. The join also keeps later filters from being pushed into the chain
+    of patterns, which would evaluate it again.
+    """
+    rows = entries(registry)
+    code = _match_code(rows, _valid_patterns(offers, rows))
+    found = [(r.idx, r.idx, True) for r in rows] + [(-1 - r.idx, r.idx, False) for r in rows]
+    ways = offers.sparkSession.createDataFrame(found, "_way int, provider_idx int, by_url boolean")
+    fields = [c for c in registry.columns if c != "idx"]
+    cap = registry.select(F.col("idx").alias("provider_idx"), F.struct(*fields).alias("cap"))
+    table = F.broadcast(ways.join(F.broadcast(cap), "provider_idx"))
+    return (
+        offers.withColumn("_match", code)
+        .join(table, F.col("_match") == F.col("_way"), "left")
+        .drop("_match", "_way")
+    )
 
 
-def with_capability(offers: DataFrame, registry: DataFrame) -> DataFrame:
-    """Add the matched registry entry as `cap`, null for an unknown provider."""
-    matched = offers if "provider_idx" in offers.columns else provider_match(offers, registry)
-    fields = [F.col(c) for c in registry.columns if c != "idx"]
-    entry = registry.select(F.col("idx").alias("provider_idx"), F.struct(*fields).alias("cap"))
-    # No hint: the optimizer broadcasts the registry by its actual size.
-    return matched.join(entry, "provider_idx", "left")
+def provider_match(offers: DataFrame, registry: DataFrame) -> DataFrame:
+    """Add `provider_idx` and `by_url`: the first registry entry that matches."""
+    return with_capability(offers, registry).drop("cap")
 
 
 def client_urls(with_cap: DataFrame) -> DataFrame:

@@ -11,7 +11,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from .. import fixed_values as fv, schemas
-from ..session import bind
 
 
 class Spark:
@@ -252,8 +251,10 @@ def flat_offers(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = table(spark, sf_dir, "orders")
     base = orders.select(*[F.expr(sql).alias(name) for name, sql in BASE.items()])
     first = level1(Spark)
-    # The columns most others build on are bound, so the rest behaves as if scanned.
-    bound = bind(base, **{name: F.expr(first.pop(name)) for name in ("section", "base_url", "eff_in", "eff_out", "score")})
+    # The columns most others build on come out of a one-element explode: filters
+    # on them are then not expanded into these rules, and they act as if scanned.
+    core = [F.expr(first.pop(name)).alias(name) for name in ("section", "base_url", "eff_in", "eff_out", "score")]
+    bound = base.select("*", F.inline(F.array(F.struct(*core))))
     return _with(_with(bound, first), LEVEL2)
 
 
