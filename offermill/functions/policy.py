@@ -2,12 +2,14 @@
 
 Everything here is a plain Column expression, so it fuses into the stage of
 whatever query uses it. Spark orders NaN above all numbers and treats -0.0 as
-equal to 0.0, so each predicate guards for both.
+equal to 0.0, so each predicate guards for both. Expressions are kept short: a
+generated method over 8000 bytes is never compiled to machine code.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, functions as F
 
@@ -28,6 +30,7 @@ class Policy:
 
 
 DEFAULT = Policy()
+_INFINITY = float("inf")
 
 
 def holds(predicate: Column) -> Column:
@@ -36,32 +39,36 @@ def holds(predicate: Column) -> Column:
 
 
 def is_finite(c: Column) -> Column:
-    return holds(~F.isnan(c) & (F.abs(c) < F.lit(float("inf"))))
+    # NaN is above infinity in Spark's order, so one comparison rules out both.
+    return holds(F.abs(c) < _INFINITY)
 
 
-def is_negative_zero(c: Column) -> Column:
-    return holds((c == 0) & (c.cast("string") == "-0.0"))
+def is_positive_zero(c: Column) -> Column:
+    return holds((c == 0) & (c.cast("string") == "0.0"))
 
 
-def is_positive_zero(c: Column) -> Column:
-    return holds((c == 0) & (c.cast("string") != "-0.0"))
+def _has_plus_sign(c: Column) -> Column:
+    """Above minus zero. Its text tells it from zero; positive prices make none."""
+    return (c > 0) | (c.cast("string") == "0.0")
 
 
 def _known_price(c: Column) -> Column:
-    return is_finite(c) & holds(c >= 0)
+    return (c >= 0) & (c < _INFINITY)
 
 
 def access_kind(input_price: Column, output_price: Column, policy: Policy = DEFAULT) -> Column:
-    """FREE, ULTRA_LOW or null from the effective prices per million tokens."""
-    usable = (
-        _known_price(input_price)
-        & _known_price(output_price)
-        & ~is_negative_zero(input_price)
-        & ~is_negative_zero(output_price)
-    )
-    return F.when(usable & (input_price == 0) & (output_price == 0), "FREE").when(
-        usable & (input_price <= policy.max_input) & (output_price <= policy.max_output), "ULTRA_LOW"
+    """FREE, ULTRA_LOW or null from the effective prices per million tokens.
+
+    NaN and infinity fail the upper limits; minus zero and less fail the sign.
+    """
+    cheap = (
+        (input_price <= policy.max_input)
+        & (output_price <= policy.max_output)
+        & _has_plus_sign(input_price)
+        & _has_plus_sign(output_price)
     )
+    both_zero = (input_price == 0) & (output_price == 0)
+    return F.when(cheap, F.when(both_zero, "FREE").otherwise("ULTRA_LOW"))
 
 
 def is_price_eligible(input_price: Column, output_price: Column, policy: Policy = DEFAULT) -> Column:
@@ -80,7 +87,7 @@ def is_ranking_benchmark(key: Column, policy: Policy = DEFAULT) -> Column:
 
 
 def _score_at_least(key: Column, score: Column, limit: float, policy: Policy) -> Column:
-    return is_ranking_benchmark(key, policy) & is_finite(score) & holds(score >= limit)
+    return holds(key.isin(*policy.benchmarks) & (score >= limit) & (score < _INFINITY))
 
 
 def qualifies_ranking(key: Column, score: Column, policy: Policy = DEFAULT) -> Column:
@@ -95,13 +102,14 @@ def is_discount(
     normal_input: Column, normal_output: Column, effective_input: Column, effective_output: Column
 ) -> Column:
     """All four prices known, and the normal one higher in at least one direction."""
-    known = (
-        _known_price(normal_input)
-        & _known_price(normal_output)
-        & _known_price(effective_input)
-        & _known_price(effective_output)
-    )
-    return known & ((normal_input > effective_input) | (normal_output > effective_output))
+    prices = (normal_input, normal_output, effective_input, effective_output)
+    lower = (normal_input > effective_input) | (normal_output > effective_output)
+    return holds(all_known(*prices) & lower)
+
+
+def all_known(*prices: Column) -> Column:
+    """Every price is finite and not negative; may be null when one is missing."""
+    return reduce(Column.__and__, map(_known_price, prices))
 
 
 def discount_rate(normal: Column, effective: Column) -> Column:

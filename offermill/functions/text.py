@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, functions as F
 
 from .. import fixed_values as fv
-from .policy import holds, is_finite
+from .policy import holds
 
 # White space as browsers see it, wider than Java's \s.
 SPACE = r"\s\u00a0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000\ufeff"
@@ -21,7 +21,7 @@ def text_or_null(c: Column) -> Column:
 
 
 def is_http_url(c: Column) -> Column:
-    return holds(c.rlike("^https?://"))
+    return holds(c.startswith("https://") | c.startswith("http://"))
 
 
 def is_non_blank(c: Column) -> Column:
@@ -60,18 +60,18 @@ def citation_supports(html: Column, base_url: Column) -> Column:
 
 def number_text(c: Column) -> Column:
     """A double as JSON writes it: 7, 0.05, 1e-7."""
-    short = F.regexp_replace(F.regexp_replace(c.cast("string"), r"\.0E", "E"), "E(\\d)", "e+$1")
-    short = F.regexp_replace(short, "E-", "e-")
-    size = F.abs(c)
+    text, size = c.cast("string"), F.abs(c)
+    # Digits come from the shortest text, not from the binary value.
+    scale = F.when(size < 1, text.cast("decimal(38,23)").cast("string")).otherwise(
+        text.cast("decimal(38,16)").cast("string")
+    )
+    plain = F.regexp_replace(scale, r"\.?0+\z", "")
+    exponent = F.regexp_replace(F.regexp_replace(text, r"(\.0)?E", "e"), r"e(\d)", "e+$1")
     return (
         F.when(c == 0, "0")
-        .when(~is_finite(c), c.cast("string"))
-        .when((size < 1.0e15) & (c == F.floor(c)), F.floor(c).cast("string"))
-        # From the shortest digits, not from the binary value.
-        .when((size >= 1.0e-6) & (size < 1.0e15),
-              F.regexp_replace(c.cast("string").cast("decimal(38,22)").cast("string"), r"0+\z", ""))
-        .when((size >= 1.0e15) & (size < 1.0e21), c.cast("string").cast("decimal(38,0)").cast("string"))
-        .when(c.isNotNull(), short)
+        .when(~text.contains("E"), F.regexp_replace(text, r"\.0\z", ""))
+        .when((size >= 1.0e-6) & (size < 1.0e21), plain)
+        .otherwise(exponent)
     )
 
 

@@ -8,6 +8,7 @@ verdict is joined on beforehand.
 from __future__ import annotations
 
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -18,6 +19,7 @@ from ..functions.text import (
     citation_supports, has_text, is_http_url, json_text, number_text,
 )
 from ..session import stage
+from ..sources.registry import Registry
 from .matching import with_capability
 from .skew import split_hot_keys
 
@@ -25,7 +27,6 @@ STEPS = (
     "schema", "allowance", "classification", "endpoint", "citation", "free-claim", "size",
     "no-terminal-bench", "access-kind", "access-prices", "gate3", "suspicion", "nim", "discount",
 )
-RANKED_STEPS = STEPS[3:13]
 
 
 @dataclass(frozen=True)
@@ -85,17 +86,24 @@ def schema_errors(contract: OfferContract) -> Column:
     )
 
 
+def is_broken(contract: OfferContract) -> Column:
+    """Whether any constraint is broken: the same rules without their messages."""
+    eligible = F.col("ranking_eligible").eqNullSafe(True)
+    rules = [F.col(name).isNull() for name in contract.required]
+    rules += [eligible & F.col(name).isNull() for name in contract.required_if_eligible]
+    rules += [holds(~F.col(name).isin(*values)) for name, values in contract.allowed.items()]
+    return F.col("section").isin(*contract.sections) & reduce(Column.__or__, rules, F.lit(False))
+
+
 def schema_reason(contract: OfferContract) -> Column:
-    errors = schema_errors(contract)
-    return F.when(F.size(errors) > 0, F.concat(F.lit("[schema] "), F.array_join(errors, "; ")))
+    return F.concat(F.lit("[schema] "), F.array_join(schema_errors(contract), "; "))
 
 
 def schema_violations(offers: DataFrame, contract: OfferContract = OfferContract()) -> DataFrame:
     """One row per offer that breaks the contract, its messages joined."""
-    errors = schema_errors(contract)
     return (
-        offers.withColumn("_errors", errors)
-        .filter(F.size("_errors") > 0)
+        offers.filter(is_broken(contract))
+        .withColumn("_errors", schema_errors(contract))
         .select(
             "run_id", "section", "offer_id",
             _or_question_mark(F.col("name")).alias("name"),
@@ -145,58 +153,83 @@ def fix_classification(offers: DataFrame, policy: Policy = DEFAULT) -> DataFrame
     )
 
 
-# -------------------------------------------------------------- single gates
+# ---------------------------------------------------------------------- gates
+#
+# Each gate is a condition and a text. Conditions are what every offer goes
+# through, so they are short; texts are made for failures only.
+
+
+@dataclass(frozen=True)
+class Gate:
+    fails: Column
+    reason: Column
+
 
+def _not(passes: Column) -> Column:
+    """Fails unless the test is known to pass."""
+    return ~holds(passes)
 
-def _endpoint() -> Column:
+
+def _endpoint() -> Gate:
     """Needs `provider_idx`, `by_url` and `cap`."""
+    url, source = F.col("base_url"), F.col("endpoint_source")
     official = [F.col(f"cap.{name}") for name in ("label", "base_url", "docs_url")]
-    return (
-        F.when(~has_text(F.col("base_url")), fv.REASON_NO_BASE_URL)
-        .when(~is_http_url(F.col("endpoint_source")), fv.REASON_NO_SOURCE)
+    return Gate(
+        _not((url != "") & is_http_url(source) & F.col("by_url")),
+        F.when(~has_text(url), fv.REASON_NO_BASE_URL)
+        .when(~is_http_url(source), fv.REASON_NO_SOURCE)
         .when(
             F.col("provider_idx").isNull(),
             F.format_string(fv.REASON_UNKNOWN_PROVIDER, F.coalesce("provider", F.lit("null"))),
         )
-        .when(~F.col("by_url"), F.format_string(fv.REASON_CONTRADICTS, F.col("base_url"), *official))
+        .otherwise(F.format_string(fv.REASON_CONTRADICTS, url, *official)),
+    )
+
+
+def _citation() -> Gate:
+    """Needs `cited`."""
+    return Gate(
+        ~F.col("cited"),
+        F.format_string(
+            fv.REASON_CITATION, F.col("endpoint_source"), F.coalesce("base_url", F.lit("null"))
+        ),
     )
 
 
-def _free_claim() -> Column:
-    text = F.concat(
-        F.coalesce("free_limits", F.lit("")), F.lit(" "), F.coalesce("rate_limits", F.lit(""))
+def _free_claim() -> Gate:
+    text = F.concat_ws(
+        " ", F.coalesce("free_limits", F.lit("")), F.coalesce("rate_limits", F.lit(""))
     )
     # Word edges are those of ASCII words: Japanese letters next to a phrase do
     # not hide it, as they would with Java's \b.
     before, after = "(?<![A-Za-z0-9_])", "(?![A-Za-z0-9_])"
     phrases = [p if p.endswith("]") else p + after for p in fv.PAID_PHRASES]
-    return F.when(text.rlike(f"(?i){before}({'|'.join(phrases)})"), fv.REASON_PAID)
+    return Gate(text.rlike(f"(?i){before}({'|'.join(phrases)})"), F.lit(fv.REASON_PAID))
 
 
-def _size(policy: Policy) -> Column:
+def _size(policy: Policy) -> Gate:
     total, tier = F.col("total_parameters_b"), F.col("benchmark.tier")
-    small = holds(~F.isnan(total) & (total < policy.small_model_b)) & ~holds(tier.isin(*fv.COMPETITIVE_TIERS))
-    return F.when(
-        small,
+    return Gate(
+        (total < policy.small_model_b) & _not(tier.isin(*fv.COMPETITIVE_TIERS)),
         F.format_string(fv.REASON_SIZE, number_text(total), F.coalesce(tier, F.lit("null"))),
     )
 
 
-def _benchmark(policy: Policy) -> Column:
+def _benchmark(policy: Policy) -> Gate:
     ok = P.qualifies_ranking(F.col("benchmark_key"), F.col("benchmark.score"), policy)
-    return F.when(~ok, fv.REASON_BENCHMARK)
+    return Gate(~ok, F.lit(fv.REASON_BENCHMARK))
 
 
-def _access_kind() -> Column:
+def _access_kind() -> Gate:
     kind = F.col("access_kind")
-    return F.when(
-        ~holds(kind.isin(*fv.RANKED_KINDS)), F.format_string(fv.REASON_ACCESS_KIND, json_text(kind))
+    return Gate(
+        _not(kind.isin(*fv.RANKED_KINDS)), F.format_string(fv.REASON_ACCESS_KIND, json_text(kind))
     )
 
 
-def _access_prices(policy: Policy) -> Column:
+def _access_prices(policy: Policy) -> Gate:
     price, kind = F.col("effective_price_per_million"), F.col("access_kind")
-    ok = price.isNotNull() & P.access_kind_matches(kind, price["input"], price["output"], policy)
+    matches = P.access_kind_matches(kind, price["input"], price["output"], policy)
 
     def side(name):
         # Only finite numbers exist in JSON; anything else is written as null.
@@ -204,89 +237,93 @@ def _access_prices(policy: Policy) -> Column:
         return F.concat(F.lit(f'"{name}":'), text)
 
     shown = F.when(price.isNull(), "null").otherwise(
-        F.concat(F.lit("{"), F.concat_ws(",", side("input"), side("output")), F.lit("}"))
+        F.concat(F.lit("{"), side("input"), F.lit(","), side("output"), F.lit("}"))
+    )
+    return Gate(
+        price.isNull() | ~matches, F.format_string(fv.REASON_ACCESS_PRICES, shown, json_text(kind))
     )
-    return F.when(~ok, F.format_string(fv.REASON_ACCESS_PRICES, shown, json_text(kind)))
 
 
-def _confidence() -> Column:
+def _confidence() -> Gate:
     c = F.col("operational_confidence")
-    return (
+    return Gate(
+        _not(c.isin("HIGH", "MEDIUM")),
         F.when(c == "NONE", fv.REASON_CONFIDENCE_NONE)
         .when(c == "LOW", fv.REASON_CONFIDENCE_LOW)
-        .when(
-            ~holds(c.isin("HIGH", "MEDIUM")),
-            F.format_string(fv.REASON_CONFIDENCE_INVALID, json_text(c)),
-        )
+        .otherwise(F.format_string(fv.REASON_CONFIDENCE_INVALID, json_text(c))),
     )
 
 
-def _suspicion(policy: Policy) -> Column:
+def _suspicion(policy: Policy) -> Gate:
     score = F.col("suspicion_score")
-    high = holds(~F.isnan(score) & (score > policy.max_suspicion))
-    return F.when(high, F.format_string(fv.REASON_SUSPICION, number_text(score)))
+    # NaN is above infinity and does not count as high.
+    return Gate(
+        (score > policy.max_suspicion) & (score <= float("inf")),
+        F.format_string(fv.REASON_SUSPICION, number_text(score)),
+    )
 
 
-def _deprecated() -> Column:
-    return F.when(F.col("free_endpoint_status") == "deprecated", fv.REASON_DEPRECATED)
+def _deprecated() -> Gate:
+    return Gate(F.col("free_endpoint_status") == "deprecated", F.lit(fv.REASON_DEPRECATED))
 
 
-def _discount() -> Column:
+def _discount() -> Gate:
     normal, effective = F.col("normal_price_per_million"), F.col("effective_price_per_million")
     sides = (normal["input"], normal["output"], effective["input"], effective["output"])
-    known = F.lit(True)
-    for price in sides:
-        known = known & P.is_finite(price) & holds(price >= 0)
-    complete = holds(F.col("access_kind") == "DISCOUNTED") & known & F.col("discount_rates").isNotNull()
-    return F.when(~complete, fv.REASON_DISCOUNT_INCOMPLETE).when(
-        ~P.is_discount(*sides), fv.REASON_DISCOUNT_NOT_LOWER
+    complete = (
+        (F.col("access_kind") == "DISCOUNTED") & F.col("discount_rates").isNotNull() & P.all_known(*sides)
+    )
+    lower = (sides[0] > sides[2]) | (sides[1] > sides[3])
+    return Gate(
+        _not(complete & lower),
+        F.when(_not(complete), fv.REASON_DISCOUNT_INCOMPLETE).otherwise(fv.REASON_DISCOUNT_NOT_LOWER),
     )
 
 
-def _gate(offers: DataFrame, reason: Column) -> DataFrame:
-    return offers.withColumn("gate_reason", F.when(eligible_ranked(), reason))
+def _single(offers: DataFrame, gate: Gate, scope: Column | None = None) -> DataFrame:
+    """Add `gate_reason`, null where the gate passes or does not apply."""
+    scope = eligible_ranked() if scope is None else scope
+    return offers.withColumn("gate_reason", F.when(scope & gate.fails, gate.reason))
 
 
-def gate_endpoint(offers: DataFrame, registry: DataFrame) -> DataFrame:
-    return _gate(with_capability(offers, registry), _endpoint()).drop("cap")
+def gate_endpoint(offers: DataFrame, registry: Registry) -> DataFrame:
+    return _single(with_capability(offers, registry), _endpoint()).drop("cap")
 
 
 def gate_free_claim(offers: DataFrame) -> DataFrame:
-    return _gate(offers, _free_claim())
+    return _single(offers, _free_claim())
 
 
 def gate_size(offers: DataFrame, policy: Policy = DEFAULT) -> DataFrame:
-    return _gate(offers, _size(policy))
+    return _single(offers, _size(policy))
 
 
 def gate_benchmark(offers: DataFrame, policy: Policy = DEFAULT) -> DataFrame:
-    return _gate(offers, _benchmark(policy))
+    return _single(offers, _benchmark(policy))
 
 
 def gate_access_kind(offers: DataFrame) -> DataFrame:
-    return _gate(offers, _access_kind())
+    return _single(offers, _access_kind())
 
 
 def gate_access_prices(offers: DataFrame, policy: Policy = DEFAULT) -> DataFrame:
-    return _gate(offers, _access_prices(policy))
+    return _single(offers, _access_prices(policy))
 
 
 def gate_confidence(offers: DataFrame) -> DataFrame:
-    return _gate(offers, _confidence())
+    return _single(offers, _confidence())
 
 
 def gate_suspicion(offers: DataFrame, policy: Policy = DEFAULT) -> DataFrame:
-    return _gate(offers, _suspicion(policy))
+    return _single(offers, _suspicion(policy))
 
 
 def gate_deprecated(offers: DataFrame) -> DataFrame:
-    return _gate(offers, _deprecated())
+    return _single(offers, _deprecated())
 
 
 def gate_discount(offers: DataFrame) -> DataFrame:
-    return offers.withColumn(
-        "gate_reason", F.when(F.col("section") == "discount_offers", _discount())
-    )
+    return _single(offers, _discount(), F.col("section") == "discount_offers")
 
 
 # -------------------------------------------------------------- citation gate
@@ -330,18 +367,8 @@ def join_citations(offers: DataFrame, pages: DataFrame) -> DataFrame:
     return keyed.join(verdicts, ["_url", "_base"], "left").drop("_url", "_base")
 
 
-def _citation() -> Column:
-    """Needs `cited`."""
-    return F.when(
-        ~F.col("cited"),
-        F.format_string(
-            fv.REASON_CITATION, F.col("endpoint_source"), F.coalesce("base_url", F.lit("null"))
-        ),
-    )
-
-
 def gate_citation(offers: DataFrame, pages: DataFrame) -> DataFrame:
-    return _gate(join_citations(offers, pages), _citation())
+    return _single(join_citations(offers, pages), _citation())
 
 
 # ------------------------------------------------------------------ waterfall
@@ -349,7 +376,7 @@ def gate_citation(offers: DataFrame, pages: DataFrame) -> DataFrame:
 
 def apply_gates(
     offers: DataFrame,
-    registry: DataFrame,
+    registry: Registry,
     pages: DataFrame | None = None,
     contract: OfferContract = OfferContract(),
     policy: Policy = DEFAULT,
@@ -364,19 +391,10 @@ def apply_gates(
     df = with_capability(offers, registry)
     if pages is not None:
         df = join_citations(df, pages)
-    broken = schema_reason(contract)
-    df = df.withColumns(
-        {
-            "_broken": broken,
-            "_class_fixed": _class_is_bad(policy),
-            "_allowance_fixed": eligible_ranked() & broken.isNull() & _allowance_is_bad(),
-        }
-    )
 
-    ranked = eligible_ranked() & F.col("_broken").isNull()
-    reasons = {
+    gates = {
         "endpoint": _endpoint(),
-        "citation": _citation() if pages is not None else F.lit(None).cast("string"),
+        "citation": _citation(),
         "free-claim": _free_claim(),
         "size": _size(policy),
         "no-terminal-bench": _benchmark(policy),
@@ -386,14 +404,36 @@ def apply_gates(
         "suspicion": _suspicion(policy),
         "nim": _deprecated(),
     }
-    ranked_reason = F.coalesce(*[reasons[step] for step in RANKED_STEPS])
-    discount = F.when(F.col("section") == "discount_offers", _discount())
-    reason = F.coalesce("_broken", F.when(ranked, ranked_reason), discount)
+    if pages is None:
+        del gates["citation"]
+    discount = _discount()
+    broken = is_broken(contract)
+    in_ranking = eligible_ranked()
+    in_discounts = F.col("section") == "discount_offers"
+
+    first = F.when(broken, "schema").when(
+        ~in_ranking, F.when(in_discounts & discount.fails, "discount")
+    )
+    for code, gate in gates.items():
+        first = first.when(gate.fails, code)
+    # `gate` is settled before any text is made, in a projection of its own.
+    df = df.withColumns(
+        {
+            "gate": first,
+            "_allowance_fixed": in_ranking & ~broken & _allowance_is_bad(),
+            "_class_fixed": _class_is_bad(policy),
+        }
+    )
+
+    gate = F.col("gate")
+    reason = F.when(gate == "schema", schema_reason(contract)).when(gate == "discount", discount.reason)
+    for code, one in gates.items():
+        reason = reason.when(gate == code, one.reason)
     failed = F.array_compact(
         F.array(
-            F.when(F.col("_broken").isNotNull(), "schema"),
-            *[F.when(ranked & reasons[step].isNotNull(), step) for step in RANKED_STEPS],
-            F.when(discount.isNotNull(), "discount"),
+            F.when(gate == "schema", "schema"),
+            *[F.when(in_ranking & (gate != "schema") & one.fails, code) for code, one in gates.items()],
+            F.when(gate == "discount", "discount"),
         )
     )
 
@@ -413,24 +453,23 @@ def apply_gates(
             ),
         )
     )
-    df = df.withColumns(
+    failed_any = gate.isNotNull()
+    # Texts, lists and flags are projections of their own as well: each stays
+    # small enough to be compiled, and is dropped where nobody asks for it.
+    df = df.withColumn("reason", reason)
+    df = df.withColumn(
+        "failed_gates", F.when(failed_any, failed).otherwise(F.array().cast("array<string>"))
+    )
+    return df.withColumns(
         {
-            "reason": reason,
-            "failed_gates": failed,
             "fixes": fixes,
+            "removed": failed_any & (gate != "schema"),
             "free_allowance_rank": F.when(F.col("_allowance_fixed"), "NORMAL").otherwise(F.col("free_allowance_rank")),
             "classification": F.when(F.col("_class_fixed"), "E_DISCOUNT").otherwise(F.col("classification")),
-        }
-    )
-    failed_any = F.col("reason").isNotNull()
-    return df.withColumns(
-        {
-            "gate": F.when(failed_any, F.regexp_extract("reason", r"^\[([^\]]*)", 1)),
-            "removed": failed_any & F.col("_broken").isNull(),
             "ranking_eligible": F.when(failed_any, F.lit(False)).otherwise(F.col("ranking_eligible")),
             "exclusion_reason": F.coalesce("reason", "exclusion_reason"),
         }
-    ).drop("_broken", "_class_fixed", "_allowance_fixed", "cap")
+    ).drop("_allowance_fixed", "_class_fixed", "cap")
 
 
 def checked_offers(gated: DataFrame) -> DataFrame:
@@ -440,7 +479,7 @@ def checked_offers(gated: DataFrame) -> DataFrame:
 
 def excluded_offers(gated: DataFrame) -> DataFrame:
     """Name and reason of what this run excluded."""
-    return gated.filter(F.col("reason").isNotNull()).select(
+    return gated.filter(F.col("gate").isNotNull()).select(
         "run_id", "section", "pos", "offer_id",
         _or_question_mark(F.col("name")).alias("name"), "gate", "reason",
     )
@@ -449,7 +488,7 @@ def excluded_offers(gated: DataFrame) -> DataFrame:
 def fix_log(gated: DataFrame) -> DataFrame:
     """All actions as rows, in one pass; `step`, section and place give their order."""
     exclusion = F.when(
-        F.col("reason").isNotNull(),
+        F.col("gate").isNotNull(),
         F.struct(
             F.array_position(F.array(*map(F.lit, STEPS)), F.col("gate")).cast("int").alias("step"),
             F.lit("exclude").alias("action"),

@@ -3,14 +3,23 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Row, functions as F
 from pyspark.errors import PySparkException
+from pyspark.sql import Column, DataFrame, Row, functions as F, types as T
 
-from .. import fixed_values as fv
+from .. import fixed_values as fv, schemas
 from ..functions.text import has_text, text_or_null
-from ..sources.registry import entries
+from ..sources.registry import Registry, entries
+
+
+_WAYS = T.StructType(
+    [
+        T.StructField("_way", T.IntegerType()),
+        T.StructField("provider_idx", T.IntegerType()),
+        T.StructField("by_url", T.BooleanType()),
+        T.StructField("cap", schemas.REGISTRY_ENTRY),
+    ]
+)
 
 
 def _java_pattern(pattern: str) -> str:
@@ -37,17 +46,13 @@ def _valid_patterns(df: DataFrame, rows: Sequence[Row]) -> set[int]:
     return {idx for idx, pattern in patterns.items() if _compiles(df, [pattern])}
 
 
-def _match_code(rows: Sequence[Row], valid: set[int]) -> Column:
+def _match_code(rows: Sequence[Row], valid: set[int], url: Column, texts: Column) -> Column:
     """First match of an offer: idx for its URL, -1 - idx for its texts, null for none.
 
     The URL is tried against each pattern in registry order; only when none fits
     are the matchers searched in URL, provider and name. Each pattern is a literal
     in the plan, compiled once.
     """
-    url = text_or_null(F.col("base_url"))
-    haystack = F.lower(
-        F.concat_ws(" ", *[F.coalesce(c, F.lit("")) for c in ("base_url", "provider", "name")])
-    )
     branches: list[tuple[Column, int]] = []
     for r in rows:
         if r.base_url_pattern is None:
@@ -55,16 +60,14 @@ def _match_code(rows: Sequence[Row], valid: set[int]) -> Column:
         elif r.idx in valid:
             branches.append((url.rlike(_java_pattern(r.base_url_pattern)), r.idx))
     for r in rows:
-        if r.match:
-            words = [haystack.contains(m.lower()) for m in r.match]
-            branches.append((reduce(Column.__or__, words), -1 - r.idx))
+        branches += [(texts.contains(m.lower()), -1 - r.idx) for m in r.match or ()]
     code = F.when(F.lit(False), F.lit(0))
     for condition, value in branches:
         code = code.when(condition, value)
     return code
 
 
-def with_capability(offers: DataFrame, registry: DataFrame) -> DataFrame:
+def with_capability(offers: DataFrame, registry: Registry) -> DataFrame:
     """Add `provider_idx`, `by_url` and the matched entry as `cap`, null for none.
 
     The match is a projection. Its entry comes from a table with two rows per
@@ -73,20 +76,20 @@ def with_capability(offers: DataFrame, registry: DataFrame) -> DataFrame:
     of patterns, which would evaluate it again.
     """
     rows = entries(registry)
-    code = _match_code(rows, _valid_patterns(offers, rows))
-    found = [(r.idx, r.idx, True) for r in rows] + [(-1 - r.idx, r.idx, False) for r in rows]
-    ways = offers.sparkSession.createDataFrame(found, "_way int, provider_idx int, by_url boolean")
-    fields = [c for c in registry.columns if c != "idx"]
-    cap = registry.select(F.col("idx").alias("provider_idx"), F.struct(*fields).alias("cap"))
-    table = F.broadcast(ways.join(F.broadcast(cap), "provider_idx"))
+    texts = F.concat_ws(" ", *[F.coalesce(c, F.lit("")) for c in ("base_url", "provider", "name")])
+    code = _match_code(rows, _valid_patterns(offers, rows), F.col("_url"), F.col("_texts"))
+    ways = [(r.idx, r.idx, True, tuple(r)[1:]) for r in rows]
+    ways += [(-1 - r.idx, r.idx, False, tuple(r)[1:]) for r in rows]
+    table = offers.sparkSession.createDataFrame(ways, _WAYS)
     return (
-        offers.withColumn("_match", code)
-        .join(table, F.col("_match") == F.col("_way"), "left")
-        .drop("_match", "_way")
+        offers.withColumns({"_url": text_or_null(F.col("base_url")), "_texts": F.lower(texts)})
+        .withColumn("_match", code)
+        .join(F.broadcast(table), F.col("_match") == F.col("_way"), "left")
+        .drop("_url", "_texts", "_match", "_way")
     )
 
 
-def provider_match(offers: DataFrame, registry: DataFrame) -> DataFrame:
+def provider_match(offers: DataFrame, registry: Registry) -> DataFrame:
     """Add `provider_idx` and `by_url`: the first registry entry that matches."""
     return with_capability(offers, registry).drop("cap")
 

@@ -38,7 +38,7 @@ def report_summary(gated: DataFrame, runs: DataFrame, excluded: DataFrame | None
         _count(ranked & (kind == "FREE")).alias("free"),
         _count(ranked & (kind == "ULTRA_LOW")).alias("ultra_low"),
         _count(stays & (F.col("section") == "caution_offers")).alias("caution"),
-        _count(F.col("reason").isNotNull()).alias("excluded"),
+        _count(F.col("gate").isNotNull()).alias("excluded"),
     )
     summary = _per_run(runs, counts)
     if excluded is not None:
@@ -68,7 +68,7 @@ def run_stats(gated: DataFrame, runs: DataFrame, excluded: DataFrame | None = No
     """Ranked, excluded in all, fixed and excluded by this check, per run."""
     counts = gated.groupBy("run_id").agg(
         _count(~F.col("removed") & eligible_ranked()).alias("ranked"),
-        _count(F.col("reason").isNotNull()).alias("excluded_this_run"),
+        _count(F.col("gate").isNotNull()).alias("excluded_this_run"),
         F.sum(F.size("fixes").cast("long")).alias("auto_fixed"),
     )
     stats = _per_run(runs, counts).withColumn("excluded", F.col("excluded_this_run"))

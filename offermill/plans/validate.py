@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..functions.policy import DEFAULT, Policy
 from ..operators.gates import OfferContract, apply_gates
+from ..sources.registry import Registry
 from ..sources.reports import Reports, read_reports
 from .publish import publish_report
 
@@ -14,7 +15,7 @@ def validate_reports(
     spark: SparkSession,
     path: str,
     root: str,
-    registry: DataFrame,
+    registry: Registry,
     pages: DataFrame | None = None,
     contract: OfferContract = OfferContract(),
     policy: Policy = DEFAULT,

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, Row, SparkSession, functions as F, types as T
 
 from .. import fixed_values as fv, schemas
 
+Registry = DataFrame | Sequence[Row]
 INDEXED = T.StructType([T.StructField("idx", T.IntegerType()), *schemas.REGISTRY_ENTRY.fields])
 
 
@@ -16,22 +19,25 @@ def read_registry(spark: SparkSession, path: str) -> DataFrame:
     return docs.select(F.posexplode("providers").alias("idx", "entry")).select("idx", "entry.*")
 
 
-def default_registry(spark: SparkSession) -> DataFrame:
-    rows = [(i, *_as_lists(entry)) for i, entry in enumerate(fv.REGISTRY)]
-    return spark.createDataFrame(rows, INDEXED)
+_EntryRow = Row(*INDEXED.names)
 
 
-def _as_lists(entry):
-    return [list(v) if isinstance(v, tuple) else v for v in entry]
+def default_entries() -> list[Row]:
+    """The built-in registry as rows, usable wherever a registry is asked for."""
+    return [
+        _EntryRow(i, *[list(v) if isinstance(v, tuple) else v for v in entry])
+        for i, entry in enumerate(fv.REGISTRY)
+    ]
 
 
-def entries(registry: DataFrame, limit: int = 5000) -> list[Row]:
+def entries(registry: Registry, limit: int = 5000) -> list[Row]:
     """The registry on the driver, in match order, to build match expressions from.
 
     A registry is configuration written by hand. A table beyond `limit` is not
     one, and is refused rather than cut.
     """
-    rows = registry.orderBy("idx").limit(limit + 1).collect()
-    if len(rows) > limit:
+    if isinstance(registry, DataFrame):
+        registry = registry.select(*INDEXED.names).orderBy("idx").limit(limit + 1).collect()
+    if len(registry) > limit:
         raise ValueError(f"a provider registry of more than {limit} rows is not configuration")
-    return rows
+    return list(registry)

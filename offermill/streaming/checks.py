@@ -12,6 +12,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..functions.policy import DEFAULT, Policy
 from ..operators.gates import OfferContract, apply_gates
+from ..sources.registry import Registry
 from ..sources.reports import document_schema, name_runs, offers_of
 
 
@@ -23,7 +24,7 @@ def read_offer_stream(spark: SparkSession, path: str) -> DataFrame:
 
 def gate_stream(
     offers: DataFrame,
-    registry: DataFrame,
+    registry: Registry,
     contract: OfferContract = OfferContract(),
     policy: Policy = DEFAULT,
 ) -> DataFrame:

@@ -235,7 +235,7 @@ def discount_cards(spark, sf_dir):
 
 
 def _with_cap(spark, sf_dir):
-    return matching.with_capability(fx.offers(spark, sf_dir), registry_source.default_registry(spark))
+    return matching.with_capability(fx.offers(spark, sf_dir), registry_source.default_entries())
 
 
 @query
@@ -299,7 +299,7 @@ def _single_gate(gate: Callable[[SparkSession, DataFrame], DataFrame]) -> Query:
 
 
 QUERIES.update(
-    gate_endpoint=_single_gate(lambda s, o: gates.gate_endpoint(o, registry_source.default_registry(s))),
+    gate_endpoint=_single_gate(lambda s, o: gates.gate_endpoint(o, registry_source.default_entries())),
     gate_free_claim=_single_gate(lambda s, o: gates.gate_free_claim(o)),
     gate_size=_single_gate(lambda s, o: gates.gate_size(o)),
     gate_benchmark=_single_gate(lambda s, o: gates.gate_benchmark(o)),
@@ -372,7 +372,7 @@ def contradiction_violations(spark, sf_dir):
 def _gated(spark, sf_dir):
     """The waterfall without the citation gate: no offer of the fixture cites a test page."""
     return gates.apply_gates(
-        fx.offers(spark, sf_dir), registry_source.default_registry(spark), contract=CONTRACT
+        fx.offers(spark, sf_dir), registry_source.default_entries(), contract=CONTRACT
     )
 
 
@@ -408,7 +408,7 @@ def fix_log(spark, sf_dir):
 
 @query
 def provider_match(spark, sf_dir):
-    matched = matching.provider_match(fx.offers(spark, sf_dir), registry_source.default_registry(spark))
+    matched = matching.provider_match(fx.offers(spark, sf_dir), registry_source.default_entries())
     return matched.select("offer_id", F.col("provider_idx").cast("long").alias("provider_idx"), "by_url")
 
 
