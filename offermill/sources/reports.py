@@ -52,13 +52,18 @@ def _signed_zero(offer: Column, raw: Column, field: str, side: str) -> Column:
     return F.when(holds(value == 0) & minus_zero, F.lit(-0.0)).otherwise(value).alias(side)
 
 
-def parse_offer(raw: Column) -> Column:
-    """Typed struct of one offer's JSON text; fields of a wrong type become null."""
-    offer = F.from_json(raw, schemas.OFFER_FIELDS)
-    for field in ("effective_price_per_million", "normal_price_per_million"):
-        sides = F.struct(*[_signed_zero(offer, raw, field, side) for side in ("input", "output")])
-        offer = offer.withField(field, F.when(offer[field].isNotNull(), sides))
-    return offer
+def parse_offers(rows: DataFrame) -> DataFrame:
+    """Turn the JSON text in `raw` into offer columns; fields of a wrong type become null."""
+    parsed = rows.withColumn("offer", F.from_json("raw", schemas.OFFER_FIELDS))
+    offer, raw = F.col("offer"), F.col("raw")
+    columns = []
+    for name in schemas.OFFER_FIELDS.names:
+        value = offer[name]
+        if name in ("effective_price_per_million", "normal_price_per_million"):
+            sides = F.struct(*[_signed_zero(offer, raw, name, side) for side in ("input", "output")])
+            value = F.when(value.isNotNull(), sides)
+        columns.append(value.alias(name))
+    return parsed.select(*schemas.OFFER_PLACE.names, *columns)
 
 
 def document_schema() -> T.StructType:
@@ -97,16 +102,18 @@ def offers_of(docs: DataFrame) -> DataFrame:
             ),
         )
 
-    rows = docs.select("run_id", "part", F.explode(F.concat(*[tagged(i, name) for i, name in enumerate(fv.OFFER_SECTIONS)])).alias("o"))
-    pos = F.col("o.pos").cast("long")
-    place = F.shiftleft("part", 32).bitwiseOR(pos)
-    return rows.select(
-        "run_id",
-        F.col("o.section").alias("section"),
-        place.alias("pos"),
-        F.shiftleft(F.col("o.index").cast("long"), 60).bitwiseOR(place).alias("offer_id"),
-        parse_offer(F.col("o.raw")).alias("offer"),
-    ).select("run_id", "section", "pos", "offer_id", "offer.*")
+    sections = [tagged(i, name) for i, name in enumerate(fv.OFFER_SECTIONS)]
+    rows = docs.select("run_id", "part", F.explode(F.concat(*sections)).alias("o"))
+    place = F.shiftleft("part", 32).bitwiseOR(F.col("o.pos").cast("long"))
+    return parse_offers(
+        rows.select(
+            "run_id",
+            F.col("o.section").alias("section"),
+            place.alias("pos"),
+            F.shiftleft(F.col("o.index").cast("long"), 60).bitwiseOR(place).alias("offer_id"),
+            F.col("o.raw").alias("raw"),
+        )
+    )
 
 
 def missing_sections_of(docs: DataFrame) -> DataFrame:
