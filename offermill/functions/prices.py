@@ -7,30 +7,30 @@ from pyspark.sql import Column, functions as F
 from .. import fixed_values as fv
 
 
-def format_price(c: Column) -> Column:
-    """`$` and at most twelve significant digits, without grouping or exponent."""
+def _any_size(c: Column) -> Column:
+    """Twelve digits of any double, spelled out from its exponent."""
     scientific = F.format_string("%.11e", F.abs(c))
     digits = F.concat(F.substring(scientific, 1, 1), F.substring(scientific, 3, 11))
     power = F.regexp_extract(scientific, r"e([+-]\d+)\z", 1).cast("int")
-    whole = (
-        F.when(power >= 11, F.concat(digits, F.repeat(F.lit("0"), power - 11)))
-        .when(power >= 0, F.substring(digits, F.lit(1), power + 1))
-        .otherwise("0")
+    number = F.when(power >= 11, F.concat(digits, F.repeat(F.lit("0"), power - 11))).otherwise(
+        F.rtrim(F.concat(F.lit("0."), F.repeat(F.lit("0"), -power - 1), digits), F.lit("0"))
     )
-    rest = (
-        F.when(power >= 11, "")
-        .when(power >= 0, F.substring(digits, power + 2, F.lit(12)))
-        .otherwise(F.concat(F.repeat(F.lit("0"), -power - 1), digits))
+    return F.concat(F.when(c < 0, "-").otherwise(""), number)
+
+
+def format_price(c: Column) -> Column:
+    """`$` and at most twelve significant digits, without grouping or exponent."""
+    size = F.abs(c)
+    # Within this range a decimal holds all twelve digits; nearly every price does.
+    usual = F.format_string("%.11e", c).cast("decimal(38,22)").cast("string")
+    number = (
+        F.when((size >= 1.0e-10) & (size < 1.0e15), F.regexp_replace(usual, r"\.?0+\z", ""))
+        .when(F.isnan(c), "NaN")
+        .when(size == float("inf"), F.when(c < 0, "-∞").otherwise("∞"))
+        .otherwise(_any_size(c))
     )
-    rest = F.rtrim(rest, F.lit("0"))
-    number = F.concat(whole, F.when(rest != "", F.concat(F.lit("."), rest)).otherwise(""))
-    sign = F.when(c < 0, "-").otherwise("")
     return (
-        F.when(c.isNull(), fv.TEXT_DASH)
-        .when(c == 0, "$0")
-        .when(F.isnan(c), "$NaN")
-        .when(F.abs(c) == float("inf"), F.concat(F.lit("$"), sign, F.lit("∞")))
-        .otherwise(F.concat(F.lit("$"), sign, number))
+        F.when(c.isNull(), fv.TEXT_DASH).when(c == 0, "$0").otherwise(F.concat(F.lit("$"), number))
     )
 
 

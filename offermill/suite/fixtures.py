@@ -34,6 +34,11 @@ class Spark:
     def hours(ts: str, n: str) -> str:
         return f"timestampadd(HOUR, {n}, {ts})"
 
+    @staticmethod
+    def pick(i: str, values) -> str:
+        listed = ", ".join(f"'{v}'" for v in values)
+        return f"get(array({listed}), cast({i} as int))"
+
 
 class Duck:
     @staticmethod
@@ -54,16 +59,16 @@ class Duck:
     def hours(ts: str, n: str) -> str:
         return f"({ts} + to_hours(CAST({n} AS INTEGER)))"
 
+    @staticmethod
+    def pick(i: str, values) -> str:
+        listed = ", ".join(f"'{v}'" for v in values)
+        return f"([{listed}])[{i} + 1]"
+
 
 def _text(expr: str) -> str:
     return f"cast({expr} as string)"
 
 
-def _pick(expr: str, values) -> str:
-    arms = " ".join(f"when {i} then '{v}'" for i, v in enumerate(values))
-    return f"case {expr} {arms} end"
-
-
 def _double(expr: str) -> str:
     return f"cast({expr} as double)"
 
@@ -83,7 +88,7 @@ def _field(n: int):
 
 def level1(q) -> dict[str, str]:
     """Columns from the base columns only."""
-    registry_url = _pick("c % 24", _field(3))
+    registry_url = q.pick("c % 24", _field(3))
     return {
         "run_id": _text("year(d)"),
         "section": (
@@ -98,9 +103,9 @@ def level1(q) -> dict[str, str]:
         ),
         "model_name": f"'model ' || {_text('c % 300')}",
         "provider": (
-            f"case when c % 24 >= 21 then 'Unlisted ' || {_text('c % 24')} else {_pick('c % 24', _field(1))} end"
+            f"case when c % 24 >= 21 then 'Unlisted ' || {_text('c % 24')} else {q.pick('c % 24', _field(1))} end"
         ),
-        "provider_key": _pick("c % 24", _field(0)),
+        "provider_key": q.pick("c % 24", _field(0)),
         "model_id": (
             f"case when k % 83 = 0 then null when k % 83 = 1 then ''"
             f" else 'vendor' || {_text('c % 40')} || '/model-' || {_text('k % 300')} end"
@@ -142,7 +147,7 @@ def level1(q) -> dict[str, str]:
             " when k % 8 < 7 then '2.0' else '6' end"
         ),
         "score": f"case when k % 67 = 0 or k % 73 = 0 then null else {_double('(c * 7 + k) % 101')} end",
-        "classification": _pick(
+        "classification": q.pick(
             "k % 7",
             [code for code, _, _ in fv.CLASS_BADGES] + ["G_FREE_LIKE"],
         ),
