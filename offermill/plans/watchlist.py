@@ -11,6 +11,7 @@ from ..functions.text import is_identifier
 from ..operators.changes import ChangeRefused, remove_entries, upsert_entries
 from ..operators.constraints import watchlist_violations
 from ..sources.watchlist import read_raw_watchlist
+from .files import Folders
 from .publish import promote
 
 KEYS = {
@@ -76,6 +77,7 @@ def write_watchlist(tables: Tables, path: str) -> None:
     for name, table in tables.items():
         table.write.parquet(f"{staging}/{name}")
     promote(spark, staging, path.rstrip("/"), list(tables))
+    Folders(spark, path).remove(staging)
 
 
 def read_written_watchlist(spark: SparkSession, path: str, names) -> Tables:
