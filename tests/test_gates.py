@@ -2,7 +2,7 @@ import json
 from functools import partial
 
 import pytest
-from pyspark.sql import Row, functions as F
+from pyspark.sql import Row
 
 from offermill.operators import gates, ranking, rollups, skew
 from offermill.operators.matching import provider_match
