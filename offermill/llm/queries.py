@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import simhash
+from . import exact, simhash
 from .common import read_table
 
 
@@ -13,8 +13,24 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id", "n_same")
 
 
+def op5_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = exact.exact_duplicates(read_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
+
+
 QUERIES = {
     "op1_simhash": op1_simhash,
+    "op5_exact": op5_exact,
 }
 
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {
+    "op5_exact": r"""
+        WITH d AS (
+            SELECT doc_id, coalesce(text, '') AS t,
+                   sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g')) AS text_sha256
+            FROM documents)
+        SELECT doc_id, first_value(doc_id) OVER w AS keep_id, count(*) OVER (PARTITION BY text_sha256) AS group_size,
+               doc_id = first_value(doc_id) OVER w AS kept, text_sha256
+        FROM d WINDOW w AS (PARTITION BY text_sha256 ORDER BY length(t) DESC, doc_id)
+    """,
+}

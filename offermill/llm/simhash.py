@@ -17,12 +17,10 @@ smallest non-null doc_id reachable, else null. No rows in, no rows out. Extra co
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from ..session import stage
 from .common import components, join_hot, utf8
@@ -52,16 +50,18 @@ def fingerprint(text: bytes, width: int = SHINGLE) -> int:
     return int(np.packbits(ones * 2 > len(shingles), bitorder="little").view(np.int64)[0])
 
 
+def fingerprint_column(width: int = SHINGLE):
+    @F.arrow_udf(T.LongType())
+    def fps(texts: pa.Array) -> pa.Array:
+        return pa.array([fingerprint(t.as_py(), width) for t in texts], pa.int64())
+
+    return fps
+
+
 def fingerprints(docs: DataFrame, width: int = SHINGLE) -> DataFrame:
     """doc_id and fp (signed 64 bits) of every row."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            found = [fingerprint(t.as_py(), width) for t in batch.column(1)]
-            yield pa.record_batch([batch.column(0), pa.array(found, pa.int64())], names=["doc_id", "fp"])
-
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", utf8("text").alias("text")).mapInArrow(run, f"doc_id {kind}, fp long")
+    return docs.select("doc_id", fingerprint_column(width)(utf8("text")).alias("fp"))
 
 
 def _half(which: int) -> Column:
@@ -148,5 +148,7 @@ def keep_one(docs: DataFrame, width: int = SHINGLE) -> DataFrame:
 
     Of repeated rows with one doc_id, all stay or go together: they are one document.
     """
-    found = near_duplicates(docs, width).filter(F.col("doc_id") != F.col("component_id"))
-    return docs.join(found.select("doc_id").distinct(), "doc_id", "left_anti")
+    gone = near_duplicates(docs, width).filter(F.col("doc_id") != F.col("component_id"))
+    gone = gone.select("doc_id", F.col("fp").alias("_fp")).distinct()
+    marked = docs.withColumn("_fp", fingerprint_column(width)(utf8("text")))
+    return marked.join(gone, ["doc_id", "_fp"], "left_anti").select(docs.columns)
