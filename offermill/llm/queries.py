@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import exact, simhash
+from . import decontam, exact, simhash
 from .common import read_table
 
 
@@ -18,9 +18,18 @@ def op5_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
 
 
+def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontam.scan(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
 QUERIES = {
     "op1_simhash": op1_simhash,
     "op5_exact": op5_exact,
+    "op9_decontaminate": op9_decontaminate,
 }
 
 SQL: dict[str, str] = {
@@ -33,4 +42,37 @@ SQL: dict[str, str] = {
                doc_id = first_value(doc_id) OVER w AS kept, text_sha256
         FROM d WINDOW w AS (PARTITION BY text_sha256 ORDER BY length(t) DESC, doc_id)
     """,
+    "op9_decontaminate": r"""
+        WITH words AS (
+            SELECT 'd' AS kind, doc_id AS id, regexp_extract_all(
+                translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+            FROM documents
+            UNION ALL
+            SELECT 'b', item_id, regexp_extract_all(
+                translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')
+            FROM benchmark),
+        lengths AS (
+            SELECT DISTINCT least(10, len(w)) AS n FROM words WHERE kind = 'b' AND len(w) > 0),
+        item_windows AS (
+            SELECT DISTINCT id, n, array_to_string(w[i:i + n - 1], ' ') AS win
+            FROM (SELECT id, w, least(10, len(w)) AS n, unnest(range(1, len(w) - least(10, len(w)) + 2)) AS i
+                  FROM words WHERE kind = 'b' AND len(w) > 0)),
+        doc_windows AS (
+            SELECT id, n, i, array_to_string(w[i:i + n - 1], ' ') AS win
+            FROM (SELECT id, w, n, unnest(range(1, len(w) - n + 2)) AS i
+                  FROM words, lengths WHERE kind = 'd' AND len(w) >= n)),
+        hits AS (
+            SELECT d.id, d.i, d.n, b.id AS item FROM doc_windows d JOIN item_windows b USING (n, win)),
+        hit_words AS (
+            SELECT id, count(DISTINCT p) AS n_hit FROM (SELECT id, unnest(range(i, i + n)) AS p FROM hits) GROUP BY id),
+        hit_items AS (
+            SELECT id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS names
+            FROM (SELECT DISTINCT id, CAST(item AS VARCHAR) AS item FROM hits) GROUP BY id)
+        SELECT w.id AS doc_id, coalesce(len(w), 0) AS n_words, coalesce(n_hit, 0) AS n_hit,
+               coalesce(n_items, 0) AS n_items, sha256(coalesce(names, '')) AS items_sha256,
+               coalesce(n_hit, 0) > 0 AS contaminated
+        FROM words w LEFT JOIN hit_words USING (id) LEFT JOIN hit_items USING (id) WHERE kind = 'd'
+    """,
 }
