@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import decontam, exact, simhash, toxicity
+from . import decontam, exact, packing, simhash, tokens, toxicity
 from .common import read_table
 
 
@@ -13,6 +14,23 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id", "n_same")
 
 
+def digested(pieces: DataFrame) -> DataFrame:
+    """Pieces with a checksum in place of their ids."""
+    return pieces.select(
+        "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset"
+    )
+
+
+def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("word_bpe_49k.json")
+    return digested(packing.pack(read_table(spark, sf_dir, "documents"), path))
+
+
+def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    return tokens.token_counts(read_table(spark, sf_dir, "documents"), path)
+
+
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.scores(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
 
@@ -32,6 +50,8 @@ def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_simhash": op1_simhash,
+    "op2_packing": op2_packing,
+    "op3_token_counts": op3_token_counts,
     "op4_toxicity": op4_toxicity,
     "op5_exact": op5_exact,
     "op9_decontaminate": op9_decontaminate,
