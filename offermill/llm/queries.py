@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import decontam, exact, packing, simhash, tokens, toxicity
+from . import decontam, exact, packing, simhash, tokens, toxicity, warc
 from .common import read_table
 
 
@@ -40,6 +40,11 @@ def op5_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
 
 
+def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    back = warc.round_trip(read_table(spark, sf_dir, "pages"))
+    return back.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontam.scan(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
     return found.select(
@@ -54,6 +59,7 @@ QUERIES = {
     "op3_token_counts": op3_token_counts,
     "op4_toxicity": op4_toxicity,
     "op5_exact": op5_exact,
+    "op7_warc": op7_warc,
     "op9_decontaminate": op9_decontaminate,
 }
 
