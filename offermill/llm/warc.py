@@ -146,7 +146,7 @@ class _Bundle:
 
     def save(self, fs: pafs.FileSystem, folder: str) -> None:
         self.close_frame()
-        with fs.open_output_stream(f"{folder}/{self.name}") as out:
+        with fs.open_output_stream(f"{folder}/{self.name}", compression=None) as out:
             for frame in self.frames:
                 out.write(frame)
             out.write(seek_table(self.sizes))
