@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import decontam, exact, packing, simhash, tokens, toxicity, warc
+from . import decontam, exact, lm, packing, simhash, tokens, toxicity, warc
 from .common import read_table
 
 
@@ -53,6 +53,12 @@ def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The target is what labels call good quality."""
+    targets = read_table(spark, sf_dir, "labels").filter("quality = 1")
+    return lm.score(read_table(spark, sf_dir, "documents"), targets)
+
+
 QUERIES = {
     "op1_simhash": op1_simhash,
     "op2_packing": op2_packing,
@@ -61,6 +67,7 @@ QUERIES = {
     "op5_exact": op5_exact,
     "op7_warc": op7_warc,
     "op9_decontaminate": op9_decontaminate,
+    "op10_lm_score": op10_lm_score,
 }
 
 SQL: dict[str, str] = {
