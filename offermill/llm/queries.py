@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import decontam, exact, lm, packing, simhash, tokens, toxicity, warc
+from . import decontam, exact, lm, packing, pii, simhash, tokens, toxicity, warc
 from .common import read_table
 
 
@@ -45,6 +45,14 @@ def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return back.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find(read_table(spark, sf_dir, "documents"))
+    every = F.array_sort(F.concat("base", "added"))
+    return found.select(
+        "doc_id", *pii.counted(F.col("base")), F.sha2(pii.listed(F.col("base")), 256).alias("base_sha256"), pii.listed(every).alias("spans")
+    )
+
+
 def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontam.scan(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
     return found.select(
@@ -66,6 +74,7 @@ QUERIES = {
     "op4_toxicity": op4_toxicity,
     "op5_exact": op5_exact,
     "op7_warc": op7_warc,
+    "op8_pii": op8_pii,
     "op9_decontaminate": op9_decontaminate,
     "op10_lm_score": op10_lm_score,
 }
