@@ -20,6 +20,11 @@ def utf8(column: str) -> Column:
     return F.encode(F.coalesce(F.col(column), F.lit("")), "UTF-8")
 
 
+def boxed(df: DataFrame, **columns: Column) -> DataFrame:
+    """The rows of `df` as one column `_row`, and further columns: no name can clash. `_row.*` unpacks them."""
+    return df.select(F.struct(*(df[c] for c in df.columns)).alias("_row"), *(c.alias(n) for n, c in columns.items()))
+
+
 def hot_values(df: DataFrame, key: str, floor: int = HOT_ROWS) -> list:
     """The most frequent keys with more than `floor` rows, MAX_HOT at most.
 

@@ -23,6 +23,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
+from .common import boxed
+
 N = 10
 BLOCK_WORDS = 200_000
 
@@ -131,9 +133,6 @@ def _spans(hit: np.ndarray) -> list[dict]:
     return [{"start": int(a), "end": int(b) + 1} for a, b in zip(hit[[0, *(cut + 1)]], hit[[*cut, len(hit) - 1]])]
 
 
-_FOUND = "n_words long, spans array<struct<start:long,end:long>>, items array<string>"
-
-
 def scan(docs: DataFrame, benchmark: DataFrame, n: int = N, block_words: int = BLOCK_WORDS) -> DataFrame:
     """One row per row of `docs`: doc_id, n_words, n_hit, spans (of hit words), items (ids as strings, sorted)."""
     marked = docs.select("doc_id", _marked(docs, benchmark, n, block_words).alias("f"))
@@ -185,9 +184,8 @@ def _finder(windows: WindowSet, merge: bool):
 
 def remove_documents(docs: DataFrame, benchmark: DataFrame, n: int = N, least_hits: int = 1) -> DataFrame:
     """The rows of `docs` with fewer than `least_hits` hit words."""
-    hits = F.aggregate("_found.spans", F.lit(0).cast("long"), lambda t, s: t + s["end"] - s["start"])
-    marked = docs.withColumn("_found", _marked(docs, benchmark, n, BLOCK_WORDS))
-    return marked.filter(hits < least_hits).select(docs.columns)
+    hits = F.aggregate("found.spans", F.lit(0).cast("long"), lambda t, s: t + s["end"] - s["start"])
+    return boxed(docs, found=_marked(docs, benchmark, n, BLOCK_WORDS)).filter(hits < least_hits).select("_row.*")
 
 
 def remove_spans(docs: DataFrame, benchmark: DataFrame, n: int = N) -> DataFrame:
@@ -197,8 +195,9 @@ def remove_spans(docs: DataFrame, benchmark: DataFrame, n: int = N) -> DataFrame
     def cut(texts: pa.Array, found: pa.Array) -> pa.Array:
         return pa.array([_cut(t, f["spans"]) for t, f in zip(texts.to_pylist(), found.to_pylist())], pa.string())
 
-    marked = docs.withColumn("_found", _marked(docs, benchmark, n, BLOCK_WORDS))
-    return marked.withColumn("text", F.when(F.size("_found.spans") > 0, cut("text", "_found")).otherwise(F.col("text"))).select(docs.columns)
+    rows = boxed(docs, found=_marked(docs, benchmark, n, BLOCK_WORDS))
+    text = F.when(F.size("found.spans") > 0, cut(F.col("_row.text"), F.col("found"))).otherwise(F.col("_row.text"))
+    return rows.select(*(text.alias("text") if c == "text" else F.col("_row")[c] for c in docs.columns))
 
 
 def _cut(text: str | None, spans: list[dict]) -> str | None:

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from ..session import stage
-from .common import join_hot, utf8
+from .common import boxed, join_hot, utf8
 
 BLANKS = b" \t\n\x0b\x0c\r"
 TABLE_BYTES = 96 << 20
@@ -200,5 +200,6 @@ def exact_duplicates(docs: DataFrame, table_bytes: int = TABLE_BYTES, block_byte
 
 def keep_one(docs: DataFrame) -> DataFrame:
     """The rows of `docs` that stay. Rows without doc_id cannot be told apart and all stay."""
-    gone = exact_duplicates(docs).filter("NOT kept AND doc_id IS NOT NULL").select("doc_id", F.col("digest").alias("_digest"))
-    return docs.withColumn("_digest", _digest(utf8("text"))).join(gone.distinct(), ["doc_id", "_digest"], "left_anti").select(docs.columns)
+    gone = exact_duplicates(docs).filter("NOT kept AND doc_id IS NOT NULL").select("doc_id", "digest").distinct()
+    rows = boxed(docs, doc_id=F.col("doc_id").cast("long"), digest=_digest(utf8("text")))
+    return rows.join(gone, ["doc_id", "digest"], "left_anti").select("_row.*")

@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import decontam, exact, lm, packing, pii, simhash, tokens, toxicity, warc
+from . import decontam, exact, licenses, lm, packing, pii, simhash, tokens, toxicity, warc
 from .common import read_table
 
 
@@ -40,6 +40,11 @@ def op5_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
 
 
+def op6_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    return licenses.per_document(docs, licenses.scan(docs))
+
+
 def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     back = warc.round_trip(read_table(spark, sf_dir, "pages"))
     return back.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
@@ -73,6 +78,7 @@ QUERIES = {
     "op3_token_counts": op3_token_counts,
     "op4_toxicity": op4_toxicity,
     "op5_exact": op5_exact,
+    "op6_licenses": op6_licenses,
     "op7_warc": op7_warc,
     "op8_pii": op8_pii,
     "op9_decontaminate": op9_decontaminate,

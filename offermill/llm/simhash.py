@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from ..session import stage
-from .common import components, join_hot, utf8
+from .common import boxed, components, join_hot, utf8
 
 SEED = 42
 BITS = 64
@@ -148,7 +148,6 @@ def keep_one(docs: DataFrame, width: int = SHINGLE) -> DataFrame:
 
     Of repeated rows with one doc_id, all stay or go together: they are one document.
     """
-    gone = near_duplicates(docs, width).filter(F.col("doc_id") != F.col("component_id"))
-    gone = gone.select("doc_id", F.col("fp").alias("_fp")).distinct()
-    marked = docs.withColumn("_fp", fingerprint_column(width)(utf8("text")))
-    return marked.join(gone, ["doc_id", "_fp"], "left_anti").select(docs.columns)
+    gone = near_duplicates(docs, width).filter(F.col("doc_id") != F.col("component_id")).select("doc_id", "fp").distinct()
+    rows = boxed(docs, doc_id=F.col("doc_id"), fp=fingerprint_column(width)(utf8("text")))
+    return rows.join(gone, ["doc_id", "fp"], "left_anti").select("_row.*")

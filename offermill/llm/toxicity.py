@@ -25,7 +25,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from .common import utf8
+from .common import boxed, utf8
 from .decontam import words_of
 
 BITS = 20
@@ -111,9 +111,8 @@ def _sample(docs: DataFrame, labels: DataFrame, max_rows: int) -> DataFrame:
             rows = _place_columns(batch.column(0).to_pylist(), None, cache)
             yield pa.record_batch([pa.array(rows, pa.list_(pa.int64())), batch.column(1)], names=["terms", "label"])
 
-    rows = docs.join(F.broadcast(chosen), docs["doc_id"] == F.col("_id")).select(
-        utf8("text").alias("text"), (F.col("_toxic") > 0).cast("int").alias("label")
-    )
+    rows = docs.select("doc_id", utf8("text").alias("text")).join(F.broadcast(chosen), F.col("doc_id") == F.col("_id"))
+    rows = rows.select("text", (F.col("_toxic") > 0).cast("int").alias("label"))
     return rows.mapInArrow(terms, "terms array<long>, label int")
 
 
@@ -219,4 +218,4 @@ def scores(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS, thresho
 def keep_clean(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """The rows of `docs` with a score below `threshold`."""
     model = fit(docs, labels)
-    return docs.withColumn("_score", score_column(model)).filter(F.col("_score") < threshold).select(docs.columns)
+    return boxed(docs, score=score_column(model)).filter(F.col("score") < threshold).select("_row.*")
