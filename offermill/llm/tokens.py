@@ -8,6 +8,7 @@ columns are ignored.
 
 from __future__ import annotations
 
+import functools
 import json
 import unicodedata
 import zlib
@@ -23,6 +24,14 @@ from . import bpe
 
 LIMIT = 1024
 _PART_CHARS = 2_000_000
+_BEYOND = regex.compile("[^\0-\u024f]")
+
+
+@functools.lru_cache(maxsize=2)
+def _library(path: str):
+    from tokenizers import Tokenizer
+
+    return Tokenizer.from_file(path)
 
 
 @dataclass
@@ -64,10 +73,17 @@ class TextTokenizer:
             parts.append(text[at:])
             owner.append(k)
         if self.lower:
-            # Lower case letter by letter: no final form of sigma.
-            parts = [p.lower() if p.isascii() else unicodedata.normalize("NFC", p).replace("Σ", "σ").lower() for p in parts]
+            parts = [self._normal(p) for p in parts]
         return parts, np.array(owner, np.int64), found
 
+    def _normal(self, text: str) -> str:
+        """Composed and in lower case. Beyond Latin letters the library's own tables decide."""
+        if text.isascii():
+            return text.lower()
+        if _BEYOND.search(text):
+            return _library(self.path).normalizer.normalize_str(text)
+        return unicodedata.normalize("NFC", text).lower()
+
     def counts(self, texts: list[str], table: np.ndarray) -> np.ndarray:
         parts, owner, found = self._parts(texts)
         words = bpe.split_words(parts, table, self.join_space)
