@@ -197,7 +197,7 @@ def remove_spans(docs: DataFrame, benchmark: DataFrame, n: int = N) -> DataFrame
 
     rows = boxed(docs, found=_marked(docs, benchmark, n, BLOCK_WORDS))
     text = F.when(F.size("found.spans") > 0, cut(F.col("_row.text"), F.col("found"))).otherwise(F.col("_row.text"))
-    return rows.select(*(text.alias("text") if c == "text" else F.col("_row")[c] for c in docs.columns))
+    return rows.select(*(text.alias("text") if c == "text" else F.col("_row")[c].alias(c) for c in docs.columns))
 
 
 def _cut(text: str | None, spans: list[dict]) -> str | None:
