@@ -97,7 +97,8 @@ def count(docs: DataFrame, targets: DataFrame, shape: Shape = Shape()) -> DataFr
             )
 
     marks = targets.select(F.col("doc_id").alias("_target")).distinct()
-    rows = docs.select("doc_id", utf8("text").alias("text")).join(marks, F.col("doc_id") == F.col("_target"), "left")
+    # Marks grow with the corpus: they are dealt like the documents at every size, and hashed, so no text is sorted.
+    rows = docs.select("doc_id", utf8("text").alias("text")).join(marks.hint("shuffle_hash"), F.col("doc_id") == F.col("_target"), "left")
     rows = rows.select("text", F.col("_target").isNotNull().alias("is_target"))
     counted = rows.mapInArrow(run, "counter long, target long, background long")
     return counted.groupBy("counter").agg(F.sum("target").alias("target"), F.sum("background").alias("background"))
