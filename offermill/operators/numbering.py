@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -40,7 +41,12 @@ def number_rows(df: DataFrame, within: Sequence[str], order: Sequence[Column], n
     )
     # Written so that its real size decides how it is joined.
     offsets = stage(offsets, "offsets")
-    numbered = placed.join(offsets, [*within, "_block"])
+    # A group may be null; an equality would drop its rows.
+    offsets = offsets.select("_block", "_shift", *(F.col(c).alias(f"_of_{c}") for c in within))
+    same = [F.col(c).eqNullSafe(F.col(f"_of_{c}")) for c in within]
+    numbered = placed.join(
+        offsets.withColumnRenamed("_block", "_in"), reduce(Column.__and__, same, F.col("_block") == F.col("_in"))
+    ).drop("_in", *(f"_of_{c}" for c in within))
     return numbered.withColumn(name, (F.col("_place") + F.col("_shift")).cast("long")).drop(
         "_place", "_block", "_shift"
     )

@@ -10,7 +10,7 @@ from ..functions.policy import DEFAULT, Policy
 from .gates import admitted_offers, is_admitted
 from .numbering import number_rows
 
-_KEYS = ("_tier", "_access", "_version", "_score", "_priced")
+_KEYS = ("_tier", "_access", "_release", "_version", "_score", "_priced")
 
 
 def _with_keys(offers: DataFrame) -> DataFrame:
@@ -18,7 +18,8 @@ def _with_keys(offers: DataFrame) -> DataFrame:
 
     Scores of different benchmark versions are never compared. A rule that falls
     back to dates between versions is no total order, so versions form blocks,
-    newest first and missing last, and scores count inside a block only.
+    newest first and missing last, and scores count inside a block only. Dotted
+    numbers compare part by part, so 2.10 is newer than 2.9; other texts follow.
     """
     version = F.when(F.col("benchmark.version") != "", F.col("benchmark.version"))
     tier = F.array_position(F.array(*map(F.lit, fv.TIERS)), F.col("benchmark.tier")).cast("int")
@@ -27,6 +28,9 @@ def _with_keys(offers: DataFrame) -> DataFrame:
         {
             "_tier": tier,
             "_access": F.when(F.col("access_kind") == "FREE", 0).otherwise(1),
+            "_release": F.when(
+                version.rlike(r"^[0-9]{1,18}(\.[0-9]{1,18})*$"), F.split(version, r"\.").cast("array<bigint>")
+            ),
             "_version": version,
             "_score": F.when(version.isNotNull(), score),
             "_priced": parse_instant(F.col("price_verified_at")),
@@ -42,6 +46,7 @@ def _order() -> list[Column]:
     return [
         F.col("_tier").asc(),
         F.col("_access").asc(),
+        F.col("_release").desc_nulls_last(),
         F.col("_version").desc_nulls_last(),
         F.col("_score").desc_nulls_last(),
         F.col("_priced").desc_nulls_last(),
@@ -91,7 +96,7 @@ def offer_slots(offers: DataFrame, policy: Policy = DEFAULT) -> DataFrame:
     they stand in the report, eligible or not. Discounts have a slot of their own.
     One range shuffle numbers all slots of all runs.
     """
-    order = [F.col("_source").asc(), *_order()[:5], F.col("_listed"), F.col("_name"), F.col("offer_id")]
+    order = [F.col("_source").asc(), *_order()[:6], F.col("_listed"), F.col("_name"), F.col("offer_id")]
     numbered = number_rows(_slotted(offers, policy), ["run_id", "slot"], order, "slot_position")
     return numbered.drop("_source", "_listed", "_name", *_KEYS)
 

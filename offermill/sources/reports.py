@@ -13,6 +13,11 @@ from ..functions.policy import holds
 UPDATE_SECTIONS = ("product_updates", "startup_credits")
 PAYLOAD_SECTIONS = ("new_models", "changes", "sources")
 
+# An offer's id holds its section (2 bits), the part of the report, and the place in the
+# section of that part.
+PART_BITS = 35
+POS_BITS = 26
+
 # Arrays stay raw text at first: a section that is no array then fails the scan,
 # while a wrong type inside one offer only blanks that field.
 _DOCUMENT = T.StructType(
@@ -92,6 +97,18 @@ def _explode(docs: DataFrame, section: str) -> DataFrame:
     return docs.select("run_id", "part", F.posexplode(section).alias("pos", "raw"))
 
 
+def place_of(part: Column, pos: Column) -> Column:
+    """Part and place in one number that rises with both. Numbers out of range fail the scan: ids never collide."""
+    sound = part.between(0, (1 << PART_BITS) - 1) & (pos < (1 << POS_BITS))
+    place = F.shiftleft(part, POS_BITS).bitwiseOR(pos.cast("long"))
+    message = F.concat(F.lit("part or place out of range: "), part.cast("string"), F.lit(", "), pos.cast("string"))
+    return F.when(sound, place).otherwise(F.raise_error(message).cast("long"))
+
+
+def part_of(place: Column) -> Column:
+    return F.shiftright(place, POS_BITS)
+
+
 def offers_of(docs: DataFrame) -> DataFrame:
     # One explode over a tagged array keeps it to a single pass over the text.
     def tagged(index: int, section: str) -> Column:
@@ -104,13 +121,13 @@ def offers_of(docs: DataFrame) -> DataFrame:
 
     sections = [tagged(i, name) for i, name in enumerate(fv.OFFER_SECTIONS)]
     rows = docs.select("run_id", "part", F.explode(F.concat(*sections)).alias("o"))
-    place = F.shiftleft("part", 32).bitwiseOR(F.col("o.pos").cast("long"))
+    place = place_of(F.col("part"), F.col("o.pos"))
     return parse_offers(
         rows.select(
             "run_id",
             F.col("o.section").alias("section"),
             place.alias("pos"),
-            F.shiftleft(F.col("o.index").cast("long"), 60).bitwiseOR(place).alias("offer_id"),
+            F.shiftleft(F.col("o.index").cast("long"), PART_BITS + POS_BITS).bitwiseOR(place).alias("offer_id"),
             F.col("o.raw").alias("raw"),
         )
     )

@@ -19,7 +19,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
 CONTRACT = gates.OfferContract(
-    required=("classification",),
+    required=("classification",), required_if_eligible=("name", "provider", "model_id"),
     allowed={"benchmark_key": ("terminal_bench_2_0", "terminal_bench_2_1", "livecodebench_v6")},
 )
 
@@ -107,7 +107,7 @@ def report_scan(spark, sf_dir):
     offers.select(F.to_json(document).alias("value")).write.text(path)
     scanned = report_source.read_reports(spark, path, one_per_line=True).offers
     return scanned.select(
-        "run_id", "section", F.shiftright("pos", 32).alias("offer_id"),
+        "run_id", "section", report_source.part_of(F.col("pos")).alias("offer_id"),
         "name", "base_url", "access_kind", "ranking_eligible", "last_verified", "suspicion_score",
         F.col("effective_price_per_million.input").alias("eff_in"),
         F.col("effective_price_per_million.output").alias("eff_out"),
@@ -664,8 +664,12 @@ def _watchlist_tables(spark, sf_dir, flaws: bool = True) -> dict[str, DataFrame]
         flawed("o_orderkey % 9 = 5", "'org'", "'[\"o\"]'").alias("orgs"),
         flawed("o_orderkey % 21 = 6", "'free'", "cast(null as string)").alias("keywords"),
     )
+    windows = F.struct(F.lit(1.0).alias("hot_days"), F.lit(3.0).alias("warm_days"), F.lit(30.0).alias("catchup_days"))
+    meta = spark.range(1).select(
+        F.lit(float(fv.WATCHLIST_VERSION)).alias("version"), windows.alias("windows"), F.array().cast("array<string>").alias("not_arrays")
+    )
     return {
-        "vendors": vendors, "frontier_vendors": frontier, "provider_monitors": monitors, "community": community,
+        "meta": meta, "vendors": vendors, "frontier_vendors": frontier, "provider_monitors": monitors, "community": community,
         "coding_products": products, "credit_programs": programs,
     }
 
@@ -702,6 +706,7 @@ def write_watchlist(spark, sf_dir):
     path = scratch_path(spark, "watchlist-tables")
     watchlist.write_watchlist(tables, path)
     written = watchlist.read_written_watchlist(spark, path, tables)
+    written.pop("meta")
     counts = [t.agg(F.count("*").alias("rows")).select(F.lit(name).alias("domain"), "rows") for name, t in written.items()]
     return reduce(DataFrame.unionByName, counts)
 

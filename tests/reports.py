@@ -3,28 +3,34 @@
 import json
 
 
+CHECKED = "2024-11-05T06:30:00.000Z"
+
+
+def _both(value):
+    return {"input": value, "output": value}
+
+
 def offer(name="Kept", **changes):
-    base = {
-        "name": name, "model_name": name, "provider": "Google Gemini", "provider_key": "google",
-        "access_kind": "FREE", "classification": "B_PERMANENT_FREE_TIER", "suspicion_score": 0,
-        "operational_confidence": "HIGH", "ranking_eligible": True, "last_verified": "2026-07-31T00:00:00.000Z",
-        "base_url": "https://generativelanguage.googleapis.com/v1beta", "model_id": "test/" + str(name),
-        "endpoint_source": "https://docs.example/api", "price_verified_at": "2026-07-31T00:00:00.000Z",
-        "effective_price_per_million": {"input": 0, "output": 0}, "free_allowance_rank": "NORMAL",
-        "benchmark": {"score": 60, "benchmark_name": "Terminal-Bench 2.1", "version": "2.1", "tier": "A"},
-        "benchmark_key": "terminal_bench_2_1", "sources": ["https://docs.example"],
+    """A free offer of a registered endpoint that passes every gate; "absent" takes a field out."""
+    identity = {"name": name, "model_id": f"family/{name}", "provider": "DeepSeek", "provider_key": "deepseek"}
+    endpoint = {"base_url": "https://api.deepseek.com/v1", "endpoint_source": "https://manual.example/endpoints"}
+    price = {"access_kind": "FREE", "effective_price_per_million": _both(0), "price_verified_at": CHECKED}
+    allowance = {"classification": "A_TRUE_FREE", "free_allowance_rank": "AMPLE"}
+    score = {
+        "benchmark_key": "terminal_bench_2_0",
+        "benchmark": {"tier": "S", "version": "2.0", "score": 83.5, "benchmark_name": "Terminal-Bench 2.0"},
+    }
+    evidence = {
+        "suspicion_score": 1, "operational_confidence": "MEDIUM", "last_verified": CHECKED,
+        "sources": ["https://manual.example", "https://status.example"],
     }
-    base.update(changes)
-    return {k: v for k, v in base.items() if v != "absent"}
+    whole = {"ranking_eligible": True, **identity, **endpoint, **price, **allowance, **score, **evidence, **changes}
+    return {field: value for field, value in whole.items() if value != "absent"}
 
 
 def report(ranked=(), **sections):
-    doc = {
-        "generated_at": "2026-07-31T00:00:00.000Z", "timezone": "Asia/Tokyo", "new_models": [], "changes": [],
-        "ranked_offers": list(ranked), "excluded_offers": [], "sources": [],
-    }
-    doc.update(sections)
-    return doc
+    arrays = {name: [] for name in ("new_models", "changes", "excluded_offers", "sources")}
+    return {"generated_at": CHECKED, "timezone": "Europe/Vienna", **arrays, "ranked_offers": list(ranked), **sections}
 
 
 def write(folder, name, doc):

@@ -1,11 +1,17 @@
+import json
 import random
 
 import pytest
 from pyspark.sql import Window, functions as F
 
 from offermill.operators import numbering, ranking
+from offermill.operators.numbering import number_rows
+from offermill.operators.skew import join_split
+from offermill.sources.reports import POS_BITS, read_reports
 from offermill.suite import fixtures as fx
 
+from reports import offer, report, write
+
 SMALL = "/root/testdata/sf0.001"
 
 
@@ -89,3 +95,52 @@ def test_no_group_is_sorted_in_one_task(spark):
     assert "Window" not in plan
     top = ranking.top_offer(fx.offers(spark, SMALL))._jdf.queryExecution().executedPlan().toString()
     assert "WindowGroupLimit" in top
+
+
+def test_a_null_group_is_numbered(spark):
+    rows = spark.createDataFrame([("a", 2), (None, 5), (None, 4), ("a", 1)], "g string, v long")
+    got = number_rows(rows, ["g"], [F.col("v")], "n").collect()
+    assert sorted((str(r.g), r.v, r.n) for r in got) == [("None", 4, 1), ("None", 5, 2), ("a", 1, 1), ("a", 2, 2)]
+
+
+def test_newer_versions_by_number(spark, tmp_path):
+    versions = ["2.9", "2.10", "beta", None, "2.9.1", "10"]
+    ranked = [offer(str(v), benchmark={"score": 70, "tier": "S", "version": v}) for v in versions]
+    offers = read_reports(spark, write(tmp_path / "in", "r1", report(ranked))).offers
+    keyed = ranking._with_keys(offers).orderBy(*ranking._order()).select("name")
+    assert [r["name"] for r in keyed.collect()] == ["10", "2.10", "2.9.1", "2.9", "beta", "None"]
+
+
+def test_ids_of_high_parts_differ(spark, tmp_path):
+    folder = tmp_path / "lines"
+    folder.mkdir()
+    parts = [0, 1, 268_435_456, 3_000_000_000]
+    docs = [
+        {**report([offer(f"{p}-{k}") for k in range(3)], conditional_credits=[offer(f"c{p}")]), "run_id": "r", "part": p}
+        for p in parts
+    ]
+    (folder / "p.json").write_text("\n".join(map(json.dumps, docs)))
+    rows = read_reports(spark, str(folder), one_per_line=True).offers.select("offer_id", "pos").collect()
+    assert len({r.offer_id for r in rows}) == len(rows) == 16 and min(r.offer_id for r in rows) >= 0
+    assert {part_of_number(r.pos) for r in rows} == set(parts)
+    (folder / "p.json").write_text(json.dumps({**docs[0], "part": 1 << 36}))
+    with pytest.raises(Exception, match="out of range"):
+        read_reports(spark, str(folder), one_per_line=True).offers.collect()
+
+
+def part_of_number(pos):
+    return pos >> POS_BITS
+
+
+def test_hot_keys_are_dealt_over_tasks(spark):
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        rows = spark.range(4000).select(
+            F.when(F.col("id") % 2 == 0, "hot").otherwise(F.col("id").cast("string")).alias("key"), F.col("id").alias("pos")
+        )
+        marks = rows.select("key").distinct().withColumn("m", F.lit(1)).hint("merge")
+        joined = join_split(rows, marks, "key", F.col("pos"), floor=500)
+        sizes = joined.groupBy(F.spark_partition_id()).count().collect()
+        assert sum(r["count"] for r in sizes) == 4000 and max(r["count"] for r in sizes) < 1200
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
