@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from .numbering import number_rows
+from .skew import join_split
 
 
 class ChangeRefused(ValueError):
@@ -22,7 +23,8 @@ def upsert_entries(target: DataFrame, updates: DataFrame, key: str, pos: str = "
     latest = updates.groupBy(key).agg(
         F.max_by(F.struct(*content), pos).alias("_new"), F.min(pos).alias("_asked")
     )
-    replaced = target.join(latest.select(key, "_new"), key, "left").select(
+    # Rows of a target key may be many: those of hot keys are dealt over several tasks.
+    replaced = join_split(target, latest.select(key, "_new"), key, F.col(pos), "left").select(
         key, pos, *[F.when(F.col("_new").isNull(), F.col(c)).otherwise(F.col(f"_new.{c}")).alias(c) for c in content]
     )
     known = target.select(key).distinct()
@@ -33,6 +35,14 @@ def upsert_entries(target: DataFrame, updates: DataFrame, key: str, pos: str = "
     return replaced.unionByName(appended)
 
 
+def _refuse(keys: DataFrame, what: str) -> None:
+    """Stop with the number of keys and the first of them, if there are any."""
+    first = keys.limit(20).collect()
+    if first:
+        named = ", ".join(repr(r[0]) for r in first)
+        raise ChangeRefused(f"{what} {named}" + (f" and more, {keys.count()} in all" if len(first) == 20 else ""))
+
+
 def remove_entries(
     target: DataFrame, keys: DataFrame, key: str, protected: DataFrame | None = None
 ) -> DataFrame:
@@ -42,11 +52,7 @@ def remove_entries(
     with the same key column).
     """
     wanted = keys.select(key).distinct()
-    unknown = wanted.join(target.select(key).distinct(), key, "left_anti").limit(20).collect()
-    if unknown:
-        raise ChangeRefused(f"no entry with key {', '.join(repr(r[0]) for r in unknown)}")
+    _refuse(wanted.join(target.select(key).distinct(), key, "left_anti"), "no entry with key")
     if protected is not None:
-        held = wanted.join(protected.select(key).distinct(), key, "left_semi").limit(20).collect()
-        if held:
-            raise ChangeRefused(f"still listed elsewhere: {', '.join(repr(r[0]) for r in held)}")
-    return target.join(wanted, key, "left_anti")
+        _refuse(wanted.join(protected.select(key).distinct(), key, "left_semi"), "still listed elsewhere:")
+    return join_split(target, wanted, key, F.xxhash64(*target.columns), "left_anti")

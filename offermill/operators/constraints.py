@@ -10,13 +10,15 @@ from .. import fixed_values as fv
 from ..functions.policy import holds
 from ..functions.text import is_bare_name, is_http_url, is_identifier, is_non_blank
 from ..sources.watchlist import json_list
+from .skew import join_split
 
 
 def duplicate_keys(rows: DataFrame, key: str, pos: str = "pos") -> DataFrame:
     """All rows of a key but the first by `pos`, which must be unique.
 
     The first place of each key is a map-side minimum, so a key with very many
-    rows is one small row before it is joined back.
+    rows is one small row before it is joined back; its rows are then dealt over
+    several tasks.
     """
     firsts = (
         rows.filter(F.col(key).isNotNull())
@@ -25,13 +27,19 @@ def duplicate_keys(rows: DataFrame, key: str, pos: str = "pos") -> DataFrame:
         .filter("_n > 1")
         .drop("_n")
     )
-    return rows.join(firsts, key).filter(F.col(pos) > F.col("_first")).drop("_first")
+    return join_split(rows, firsts, key, F.col(pos)).filter(F.col(pos) > F.col("_first")).drop("_first")
 
 
 def orphan_keys(rows: DataFrame, parents: DataFrame, key: str, parent_key: str) -> DataFrame:
-    """Rows whose key has no parent row; null keys are orphans too."""
-    known = parents.select(F.col(parent_key).alias("_known")).distinct()
-    return rows.join(known, F.col(key) == F.col("_known"), "left_anti")
+    """Rows whose key has no parent row; null keys are orphans too.
+
+    Orphaned keys are found on distinct keys; only these meet the rows again, and
+    a key with very many rows is dealt over several tasks.
+    """
+    known = parents.select(F.col(parent_key).alias(key)).distinct()
+    orphaned = rows.select(key).distinct().join(known, key, "left_anti").filter(F.col(key).isNotNull())
+    found = join_split(rows, orphaned, key, F.xxhash64(*rows.columns), "left_semi")
+    return found.unionByName(rows.filter(F.col(key).isNull()))
 
 
 def _when(broken: Column, rule: str, message: Column) -> Column:
@@ -258,7 +266,10 @@ def _meta_rows(meta: DataFrame, vendors: DataFrame | None) -> list[DataFrame]:
         _when(
             ~F.col("version").eqNullSafe(F.lit(float(fv.WATCHLIST_VERSION))),
             "version",
-            F.lit(f"watchlist version must be {fv.WATCHLIST_VERSION}"),
+            F.concat(
+                F.lit(f"watchlist version must be {fv.WATCHLIST_VERSION}, found "),
+                F.coalesce(F.col("version").cast("string"), F.lit("none")),
+            ),
         ),
         _when(windows.isNull(), "windows", F.lit("windows must be an object")),
     ]

@@ -35,11 +35,12 @@ class OfferContract:
 
     The published report schema is an input of the engine, like the registry:
     `required` names fields that must be there, `required_if_eligible` those only
-    an offer marked for ranking needs, `allowed` the values a field may take.
+    an offer marked for ranking needs, `allowed` the values a field may take. By
+    default there are no rules.
     """
 
     required: tuple[str, ...] = ()
-    required_if_eligible: tuple[str, ...] = ("name", "provider", "model_id")
+    required_if_eligible: tuple[str, ...] = ()
     allowed: dict[str, tuple[str, ...]] = field(default_factory=dict)
     sections: tuple[str, ...] = ("ranked_offers", "conditional_credits", "caution_offers")
 

@@ -15,13 +15,14 @@ def split_hot_keys(
     `max_hot` of all left rows, so there are at most `max_hot` hot keys: small
     enough to broadcast. Hot keys get `ways` salts on the left, and their right
     rows are copied once per salt; all other rows keep salt 0. `left` is read
-    for the counts first, so it should be a staged or narrow table.
+    for the counts first, so it should be a staged or narrow table. `floor` decides
+    when copying pays; the result is the same at any value.
     """
     counts = left.filter(F.col(left_key).isNotNull()).groupBy(F.col(left_key).alias("_hot")).count()
     total = counts.agg(F.coalesce(F.sum("count"), F.lit(0))).first()[0]
     limit = max(floor, total // max_hot)
     hot = counts.filter(F.col("count") > limit).select("_hot")
-    hot_values = [row[0] for row in hot.limit(max_hot).collect()]
+    hot_values = [row[0] for row in hot.collect()]
     if not hot_values:
         return left.withColumn("_salt", F.lit(0)), right.withColumn("_salt", F.lit(0))
 
@@ -39,3 +40,14 @@ def split_hot_keys(
         .drop("_hot")
     )
     return salted_left, salted_right
+
+
+def join_split(
+    left: DataFrame, right: DataFrame, key: str, spread_by: Column, how: str = "inner", **limits: int
+) -> DataFrame:
+    """Join on `key`, the rows of hot left keys dealt over several tasks; `right` has few rows per key."""
+    right_key = f"_right_{key}"
+    salted, copied = split_hot_keys(left, right.withColumnRenamed(key, right_key), key, right_key, spread_by, **limits)
+    copied = copied.withColumnRenamed("_salt", "_right_salt")
+    met = (F.col(key) == F.col(right_key)) & (F.col("_salt") == F.col("_right_salt"))
+    return salted.join(copied, met, how).drop("_salt", "_right_salt", right_key)

@@ -22,7 +22,8 @@ def refuse_if_any(violations: DataFrame, what: str, column: str = "message") ->
     """Stop with the first messages when there is any violation row."""
     found = violations.select(column).limit(20).collect()
     if found:
-        raise PublicationRefused(f"{what}: " + "; ".join(str(r[0]) for r in found))
+        more = f" and more, {violations.count()} in all" if len(found) == 20 else ""
+        raise PublicationRefused(f"{what}: " + "; ".join(str(r[0]) for r in found) + more)
 
 
 def _by_run(df: DataFrame, path: str, *more: str) -> None:
@@ -50,6 +51,9 @@ def publish_report(
 ) -> None:
     """Write the result of `apply_gates` for all its runs below `root`.
 
+    Exclusions are those of the gates and those that the reports came with, told
+    apart by `origin`: their number is the one in the summary.
+
     The gated offers are computed and written once, partitioned by run and by
     `removed`; exclusions, log and summary are narrow reads of that table. Only
     when all tables are complete do the run folders move to their live place.
@@ -64,7 +68,11 @@ def publish_report(
     staging = f"{root.rstrip('/')}/_staging-{uuid.uuid4().hex}"
     _by_run(gated, f"{staging}/offers", "removed")
     written = read_run_table(spark, f"{staging}/offers", gated.schema)
-    _by_run(excluded_offers(written), f"{staging}/excluded_offers")
+    exclusions = excluded_offers(written).withColumn("origin", F.lit("gate"))
+    if excluded is not None:
+        earlier = excluded.select("run_id", "name", "reason").withColumn("origin", F.lit("report"))
+        exclusions = exclusions.unionByName(earlier, allowMissingColumns=True)
+    _by_run(exclusions, f"{staging}/excluded_offers")
     write_fix_log(fix_log(written), f"{staging}/fix_log")
     _by_run(report_summary(written, runs, excluded), f"{staging}/report_summary")
     promote_runs(spark, staging, root, RUN_TABLES, "report_summary")

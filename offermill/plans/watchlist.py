@@ -10,7 +10,7 @@ from .. import fixed_values as fv
 from ..functions.text import is_identifier
 from ..operators.changes import ChangeRefused, remove_entries, upsert_entries
 from ..operators.constraints import watchlist_violations
-from ..sources.watchlist import read_raw_watchlist
+from ..sources.watchlist import DOMAINS, read_raw_watchlist
 from .files import Folders
 from .publish import promote
 
@@ -32,7 +32,11 @@ class WatchlistInvalid(ValueError):
 def check(tables: Tables, what: str = "invalid watchlist") -> None:
     # The list comes whole to the driver: it is an error text about a document
     # that people write by hand.
-    messages = [r.message for r in watchlist_violations(tables).orderBy("domain", "pos", "rule").collect()]
+    absent = [f"{name} must be an array" for name in DOMAINS if name not in tables]
+    if "meta" not in tables:
+        absent.append("version and windows must be there")
+    found = watchlist_violations(tables).orderBy("domain", "pos", "rule") if tables else None
+    messages = absent + ([r.message for r in found.collect()] if found is not None else [])
     if messages:
         raise WatchlistInvalid("\n  ".join([f"{what}:", *messages]))
 

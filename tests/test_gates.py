@@ -11,8 +11,10 @@ from offermill.sources.reports import read_reports
 
 from reports import offer, report, write
 
+NAMED = gates.OfferContract(required_if_eligible=("name", "provider", "model_id"))
 
-def run(spark, tmp_path, ranked, pages=None, contract=gates.OfferContract(), **sections):
+
+def run(spark, tmp_path, ranked, pages=None, contract=NAMED, **sections):
     path = write(tmp_path / "in", "r1", report(ranked, **sections))
     reports = read_reports(spark, path)
     return reports, gates.apply_gates(reports.offers, default_entries(), pages, contract).cache()
@@ -30,7 +32,7 @@ def test_sound_offer_passes(spark, tmp_path):
 
 CASES = [
     ("endpoint", dict(base_url=None)), ("endpoint", dict(base_url="")), ("endpoint", dict(endpoint_source="ftp://x")),
-    ("endpoint", dict(base_url="https://generativelanguage.googleapis.com/v9")),
+    ("endpoint", dict(base_url="https://api.deepseek.com/v9")),
     ("endpoint", dict(base_url="https://x.example", provider="Nobody")),
     ("free-claim", dict(free_limits="The API is paid")), ("free-claim", dict(rate_limits="無料API costs $5")),
     ("size", dict(total_parameters_b=29.5, benchmark={"score": 60, "version": "2.1", "tier": "B"})),
@@ -49,7 +51,7 @@ PASSES = [
     dict(access_kind="ULTRA_LOW", effective_price_per_million={"input": 0.2, "output": 0.4}),
     dict(total_parameters_b=29.5), dict(suspicion_score=3), dict(suspicion_score=None),
     dict(free_limits="papi is paid"), dict(ranking_eligible=False, access_kind=None),
-    dict(base_url="https://generativelanguage.googleapis.com/v1beta/openai/"),
+    dict(base_url="https://api.deepseek.cn/v1/"),
 ]
 
 
@@ -131,7 +133,7 @@ def test_summary_sentence(spark, tmp_path):
     )
     text = rollups.report_summary(gated, reports.runs, reports.excluded).first()["summary"]
     assert text == (
-        "無料・激安 LLM API の日次ランキング。今回ランクイン 1 件（S 0、A 1、B 0）、"
+        "無料・激安 LLM API の日次ランキング。今回ランクイン 1 件（S 1、A 0、B 0）、"
         "無料 1 件、激安 0 件、注意 1 件、対象外 2 件。"
     )
 
