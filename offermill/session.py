@@ -8,10 +8,6 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
-# A generated method over 8000 bytes is never compiled to machine code. Above this
-# limit Spark evaluates a stage's expressions in many small methods instead.
-METHOD_LIMIT = ("spark.sql.codegen.hugeMethodLimit", "8000")
-
 
 def build_session(app: str = "offermill", cores: str = "*", **conf: str) -> SparkSession:
     """A local session for tests and the benchmark; clusters bring their own."""
@@ -22,7 +18,6 @@ def build_session(app: str = "offermill", cores: str = "*", **conf: str) -> Spar
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.driver.memory", "8g")
-        .config(*METHOD_LIMIT)
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
     )
