@@ -1,4 +1,4 @@
-"""Folder moves through the cluster's file system API."""
+"""Folder listings through the cluster's file system API."""
 
 from __future__ import annotations
 
@@ -20,11 +20,3 @@ class Folders:
             return []
         return sorted(s.getPath().getName() for s in self._fs.listStatus(self._path(path)))
 
-    def move(self, source: str, target: str) -> None:
-        to = self._path(target)
-        self._fs.mkdirs(to.getParent())
-        if not self._fs.rename(self._path(source), to):
-            raise OSError(f"cannot move {source} to {target}")
-
-    def remove(self, path: str) -> None:
-        self._fs.delete(self._path(path), True)

@@ -1,17 +1,26 @@
-"""Publication: every check first, then one staged write, then folder moves."""
+"""Publication: every check first, then new versions beside the live ones, then one manifest.
+
+Executors write a publication into version folders of its own; nothing is moved. A manifest
+names the versions that count, and the newest complete manifest is the state of the live
+tables. Its number is taken by creating its folder, so of two publications at once one is
+refused. If the driver is lost before the manifest is complete, readers see the old state;
+afterwards they see the new one.
+"""
 
 from __future__ import annotations
 
 import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from ..operators.gates import contradiction_violations, excluded_offers, fix_log
 from ..operators.rollups import report_summary
 from .files import Folders
 
 RUN_TABLES = ("offers", "excluded_offers", "fix_log", "report_summary")
+_MANIFEST = "name string, version string"
+_VERSION = T.StructType([T.StructField("version", T.StringType())]).fields
 
 
 class PublicationRefused(ValueError):
@@ -32,13 +41,39 @@ def _by_run(df: DataFrame, path: str, *more: str) -> None:
     df.hint("rebalance", "run_id").write.partitionBy("run_id", *more).parquet(path)
 
 
-def write_fix_log(log: DataFrame, path: str) -> None:
-    _by_run(log, path)
+def _manifests(spark: SparkSession, root: str) -> tuple[Folders, str, list[str]]:
+    folders, place = Folders(spark, root), f"{root.rstrip('/')}/_manifest"
+    return folders, place, folders.names(place)
+
+
+def manifest(spark: SparkSession, root: str) -> DataFrame:
+    """(name, version) of what is live: a run's id, or a table's name."""
+    folders, place, numbers = _manifests(spark, root)
+    whole = [n for n in numbers if folders.exists(f"{place}/{n}/_SUCCESS")]
+    if not whole:
+        return spark.createDataFrame([], _MANIFEST)
+    return spark.read.schema(_MANIFEST).parquet(f"{place}/{max(whole)}")
+
+
+def commit(spark: SparkSession, root: str, names: DataFrame, version: str) -> None:
+    """Make `version` the live one for all `names` (column name); other names keep theirs."""
+    _, place, numbers = _manifests(spark, root)
+    fresh = names.select("name").distinct().withColumn("version", F.lit(version))
+    kept = manifest(spark, root).join(fresh.select("name"), "name", "left_anti")
+    number = int(max(numbers, default="0")) + 1
+    kept.unionByName(fresh).coalesce(1).write.parquet(f"{place}/{number:012d}")
 
 
-def read_run_table(spark: SparkSession, path: str, schema) -> DataFrame:
-    """A published table; the schema keeps run ids text and empty tables readable."""
-    return spark.read.schema(schema).parquet(path)
+def live_runs(spark: SparkSession, root: str, table: str, schema) -> DataFrame:
+    """The live rows of a run table; versions that the manifest does not name are pruned."""
+    kinds = [field for field in schema.fields if field.name != "version"]
+    whole = spark.read.schema(type(schema)([*kinds, *_VERSION])).parquet(f"{root.rstrip('/')}/{table}")
+    live = manifest(spark, root).withColumnRenamed("name", "run_id")
+    return whole.join(live, ["run_id", "version"], "left_semi").drop("version")
+
+
+def write_fix_log(log: DataFrame, root: str, version: str) -> None:
+    _by_run(log, f"{root.rstrip('/')}/fix_log/version={version}")
 
 
 def publish_report(
@@ -56,79 +91,48 @@ def publish_report(
 
     The gated offers are computed and written once, partitioned by run and by
     `removed`; exclusions, log and summary are narrow reads of that table. Only
-    when all tables are complete do the run folders move to their live place.
-    Runs that are not part of `runs` stay untouched.
+    when all tables are complete does a manifest name their version for all `runs`.
+    Other runs keep theirs.
     """
     if missing_sections is not None:
         refuse_if_any(missing_sections, "required sections are missing", "section")
     if contradictions is not None:
         refuse_if_any(contradiction_violations(contradictions), "contradictions")
 
-    spark = gated.sparkSession
-    staging = f"{root.rstrip('/')}/_staging-{uuid.uuid4().hex}"
-    _by_run(gated, f"{staging}/offers", "removed")
-    written = read_run_table(spark, f"{staging}/offers", gated.schema)
+    spark, version = gated.sparkSession, uuid.uuid4().hex
+
+    def place(table: str) -> str:
+        return f"{root.rstrip('/')}/{table}/version={version}"
+
+    _by_run(gated, place("offers"), "removed")
+    written = spark.read.schema(gated.schema).parquet(place("offers"))
     exclusions = excluded_offers(written).withColumn("origin", F.lit("gate"))
     if excluded is not None:
         earlier = excluded.select("run_id", "name", "reason").withColumn("origin", F.lit("report"))
         exclusions = exclusions.unionByName(earlier, allowMissingColumns=True)
-    _by_run(exclusions, f"{staging}/excluded_offers")
-    write_fix_log(fix_log(written), f"{staging}/fix_log")
-    _by_run(report_summary(written, runs, excluded), f"{staging}/report_summary")
-    promote_runs(spark, staging, root, RUN_TABLES, "report_summary")
+    _by_run(exclusions, place("excluded_offers"))
+    write_fix_log(fix_log(written), root, version)
+    _by_run(report_summary(written, runs, excluded), place("report_summary"))
+    commit(spark, root, runs.select(F.col("run_id").alias("name")), version)
 
 
-def _require_complete(folders: Folders, staging: str, tables: Sequence[str]) -> None:
+def promote(spark: SparkSession, staging: str, live: str, tables: Sequence[str]) -> None:
+    """Make complete staged tables the live ones, all of them or none; the staging folder stays their place."""
+    folders = Folders(spark, staging)
     missing = [t for t in tables if not folders.exists(f"{staging}/{t}/_SUCCESS")]
     if missing:
         raise PublicationRefused(f"not staged or incomplete: {', '.join(missing)}")
+    commit(spark, live, spark.createDataFrame([(t,) for t in tables], "name string"), staging)
 
 
-def _swap(folders: Folders, moves: Sequence[tuple[str, str]], aside: str) -> None:
-    """Put each source in its target's place; on failure put the old ones back."""
-    done: list[tuple[str, str, str | None]] = []
-    try:
-        for n, (source, target) in enumerate(moves):
-            kept = None
-            if folders.exists(target):
-                kept = f"{aside}/{n}"
-                folders.move(target, kept)
-            done.append((source, target, kept))
-            if folders.exists(source):
-                folders.move(source, target)
-    except Exception:
-        for source, target, kept in reversed(done):
-            if folders.exists(target):
-                folders.move(target, source)
-            if kept:
-                folders.move(kept, target)
-        raise
-    folders.remove(aside)
-
-
-def promote(spark: SparkSession, staging: str, live: str, tables: Sequence[str]) -> None:
-    """Move complete staged tables to the live folder, all of them or none."""
-    folders = Folders(spark, live)
-    _require_complete(folders, staging, tables)
-    moves = [(f"{staging}/{t}", f"{live}/{t}") for t in tables]
-    _swap(folders, moves, f"{live}/_retired-{uuid.uuid4().hex}")
-
-
-def promote_runs(
-    spark: SparkSession, staging: str, live: str, tables: Sequence[str], run_table: str
-) -> None:
-    """The same per run: `run_table` has a folder for each run to be replaced.
-
-    A table without rows for a run leaves none in the live table either.
-    """
-    folders = Folders(spark, live)
-    _require_complete(folders, staging, tables)
-    runs = [n for n in folders.names(f"{staging}/{run_table}") if n.startswith("run_id=")]
-    moves = [(f"{staging}/{t}/{run}", f"{live}/{t}/{run}") for t in tables for run in runs]
-    _swap(folders, moves, f"{live}/_retired-{uuid.uuid4().hex}")
-    folders.remove(staging)
+def live_table(spark: SparkSession, live: str, table: str) -> DataFrame:
+    """A promoted table at its live place."""
+    found = manifest(spark, live).filter(F.col("name") == table).first()
+    if found is None:
+        raise PublicationRefused(f"not published: {table}")
+    return spark.read.parquet(f"{found.version}/{table}")
 
 
 def checked_report(spark: SparkSession, root: str, schema) -> DataFrame:
     """The live offers of all runs; removed ones are skipped by partition."""
-    return read_run_table(spark, f"{root}/offers", schema).filter(~F.col("removed"))
+    return live_runs(spark, root, "offers", schema).filter(~F.col("removed"))

@@ -11,8 +11,7 @@ from ..functions.text import is_identifier
 from ..operators.changes import ChangeRefused, remove_entries, upsert_entries
 from ..operators.constraints import watchlist_violations
 from ..sources.watchlist import DOMAINS, read_raw_watchlist
-from .files import Folders
-from .publish import promote
+from .publish import live_table, promote
 
 KEYS = {
     "vendors": "key",
@@ -74,15 +73,14 @@ def drop_entries(tables: Tables, domain: str, keys: DataFrame) -> Tables:
 
 
 def write_watchlist(tables: Tables, path: str) -> None:
-    """Check, write all tables aside, then swap; a bad document leaves the old one."""
+    """Check, write all tables to a version of their own, then switch; a bad document leaves the old one."""
     check(tables, "refusing to write invalid watchlist")
     spark = next(iter(tables.values())).sparkSession
-    staging = f"{path.rstrip('/')}/_staging-{uuid.uuid4().hex}"
+    staging = f"{path.rstrip('/')}/versions/{uuid.uuid4().hex}"
     for name, table in tables.items():
         table.write.parquet(f"{staging}/{name}")
     promote(spark, staging, path.rstrip("/"), list(tables))
-    Folders(spark, path).remove(staging)
 
 
 def read_written_watchlist(spark: SparkSession, path: str, names) -> Tables:
-    return {name: spark.read.parquet(f"{path.rstrip('/')}/{name}") for name in names}
+    return {name: live_table(spark, path.rstrip("/"), name) for name in names}

@@ -691,7 +691,7 @@ def publish_report(spark, sf_dir):
     contradictions = _contradictions(spark, sf_dir).filter(F.size("values") > 1)
     publish.publish_report(gated, runs, root, contradictions)
     live = publish.checked_report(spark, root, gated.schema)
-    log = publish.read_run_table(spark, f"{root}/fix_log", gates.fix_log(gated).schema)
+    log = publish.live_runs(spark, root, "fix_log", gates.fix_log(gated).schema)
     return (
         live.groupBy("run_id")
         .agg(F.count("*").alias("offers"), F.count_if("ranking_eligible").alias("eligible"))
@@ -719,5 +719,5 @@ def promote(spark, sf_dir):
     rollups.snapshot(offers, fx.runs(spark, sf_dir)).write.parquet(f"{staging}/snapshot")
     ranking.top_offer(_ranking_columns(offers)).select("run_id", "offer_id").write.parquet(f"{staging}/top")
     publish.promote(spark, staging, live, ["snapshot", "top"])
-    shown = spark.read.parquet(f"{live}/snapshot")
-    return shown.join(spark.read.parquet(f"{live}/top"), "run_id", "left").select("run_id", "total", "offer_id")
+    shown = publish.live_table(spark, live, "snapshot")
+    return shown.join(publish.live_table(spark, live, "top"), "run_id", "left").select("run_id", "total", "offer_id")

@@ -14,28 +14,52 @@ from reports import offer, report, write
 
 
 def live(spark, root, table):
-    return spark.read.parquet(f"{root}/{table}")
+    schema = spark.read.parquet(f"{root}/{table}").schema
+    # Run ids are text, whatever they look like as folder names.
+    return publish.live_runs(spark, root, table, schema)
 
 
 def test_runs_are_replaced_one_by_one(spark, tmp_path):
     root = str(tmp_path / "live")
-    write(tmp_path / "in", "r1", report([offer("a"), offer("b", suspicion_score=5)]))
+    earlier = [{"name": "old", "reason": "known"}]
+    write(tmp_path / "in", "r1", report([offer("a"), offer("b", suspicion_score=5)], excluded_offers=earlier))
     path = write(tmp_path / "in", "r2", report([offer("c")]))
     validate_reports(spark, path, root, default_entries())
-    assert live(spark, root, "report_summary").count() == 2
-    assert [r["name"] for r in live(spark, root, "excluded_offers").collect()] == ["b"]
+    assert {r["run_id"]: r["excluded"] for r in live(spark, root, "report_summary").collect()} == {"r1": 2, "r2": 0}
+    assert sorted((r["name"], r["origin"]) for r in live(spark, root, "excluded_offers").collect()) == [
+        ("b", "gate"), ("old", "report")
+    ]
     kept = live(spark, root, "offers").filter("not removed")
     assert sorted(r["name"] for r in kept.collect()) == ["a", "c"]
 
     # The next report of r1 has nothing to exclude: its old exclusions go, r2 stays.
     path = write(tmp_path / "next", "r1", report([offer("a")]))
     validate_reports(spark, path, root, default_entries())
-    spark.catalog.clearCache()
     summary = {r["run_id"]: r["excluded"] for r in live(spark, root, "report_summary").collect()}
     assert summary == {"r1": 0, "r2": 0}
-    folders = [p.name for p in (tmp_path / "live").iterdir()]
-    assert not [n for n in folders if n.startswith("_")]
-    assert not list((tmp_path / "live" / "excluded_offers").glob("run_id=r1"))
+    assert live(spark, root, "excluded_offers").count() == 0 and live(spark, root, "offers").count() == 2
+
+
+@pytest.mark.parametrize("moment", ["before", "within"])
+def test_a_lost_driver_leaves_the_old_state(spark, tmp_path, monkeypatch, moment):
+    root = str(tmp_path / "live")
+    validate_reports(spark, write(tmp_path / "in", "r1", report([offer("a")])), root, default_entries())
+    commit = publish.commit
+
+    def lost(spark, root, names, version):
+        if moment == "within":  # the manifest was begun and is not complete
+            commit(spark, root, names, version)
+            (tmp_path / "live" / "_manifest" / "000000000002" / "_SUCCESS").unlink()
+        raise OSError("driver gone")
+
+    monkeypatch.setattr(publish, "commit", lost)
+    path = write(tmp_path / "next", "r1", report([offer("z")]))
+    with pytest.raises(OSError):
+        validate_reports(spark, path, root, default_entries())
+    assert [r["name"] for r in live(spark, root, "offers").collect()] == ["a"]
+    monkeypatch.setattr(publish, "commit", commit)
+    validate_reports(spark, path, root, default_entries())
+    assert [r["name"] for r in live(spark, root, "offers").collect()] == ["z"]
 
 
 @pytest.mark.parametrize(
@@ -55,33 +79,18 @@ def test_failed_check_leaves_live_tables(spark, tmp_path, broken):
 
 
 def test_promote_is_all_or_nothing(spark, tmp_path):
-    staging, target = str(tmp_path / "s"), str(tmp_path / "t")
-    spark.range(3).write.parquet(f"{target}/one")
-    spark.range(5).write.parquet(f"{staging}/one")
+    first, second, target = (str(tmp_path / n) for n in ("s1", "s2", "t"))
+    spark.range(3).write.parquet(f"{first}/one")
+    publish.promote(spark, first, target, ["one"])
+    spark.range(5).write.parquet(f"{second}/one")
     with pytest.raises(publish.PublicationRefused, match="two"):
-        publish.promote(spark, staging, target, ["one", "two"])
-    assert live(spark, target, "one").count() == 3
-    spark.range(7).write.parquet(f"{staging}/two")
-    publish.promote(spark, staging, target, ["one", "two"])
-    assert (live(spark, target, "one").count(), live(spark, target, "two").count()) == (5, 7)
-
-
-def test_failed_move_puts_the_old_table_back(spark, tmp_path, monkeypatch):
-    staging, target = str(tmp_path / "s"), str(tmp_path / "t")
-    for name, n in (("one", 1), ("two", 2)):
-        spark.range(n).write.parquet(f"{target}/{name}")
-        spark.range(n + 10).write.parquet(f"{staging}/{name}")
-    move = publish.Folders.move
-
-    def failing(self, source, to):
-        if source.endswith("s/two"):
-            raise OSError("disk gone")
-        move(self, source, to)
-
-    monkeypatch.setattr(publish.Folders, "move", failing)
-    with pytest.raises(OSError):
-        publish.promote(spark, staging, target, ["one", "two"])
-    assert (live(spark, target, "one").count(), live(spark, target, "two").count()) == (1, 2)
+        publish.promote(spark, second, target, ["one", "two"])
+    assert publish.live_table(spark, target, "one").count() == 3
+    spark.range(7).write.parquet(f"{second}/two")
+    publish.promote(spark, second, target, ["one", "two"])
+    assert [publish.live_table(spark, target, n).count() for n in ("one", "two")] == [5, 7]
+    with pytest.raises(publish.PublicationRefused, match="three"):
+        publish.live_table(spark, target, "three")
 
 
 def test_stream_gives_the_batch_result(spark, tmp_path):
@@ -99,7 +108,7 @@ def test_stream_gives_the_batch_result(spark, tmp_path):
     query.awaitTermination(120)
     offers = read_reports(spark, str(folder), one_per_line=True).offers
     batch = gates.apply_gates(offers, default_entries())
-    written = publish.read_run_table(spark, out, batch.schema)
+    written = spark.read.schema(batch.schema).parquet(out)
     columns = ["run_id", "name", "gate"]
     assert sorted(map(str, written.select(columns).collect())) == sorted(map(str, batch.select(columns).collect()))
     assert written.filter(F.col("removed")).count() == 6
