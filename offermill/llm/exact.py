@@ -185,11 +185,22 @@ def groups(
         level += 1
 
 
-def exact_duplicates(docs: DataFrame, table_bytes: int = TABLE_BYTES, block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """One row per row of `docs`: doc_id, keep_id, group_size, kept, digest (SHA-256 of the normalised text)."""
-
-    members = stage(docs.select(F.col("doc_id").cast("long").alias("doc_id"), _digest(utf8("text")).alias("digest")), "digests")
-    decided = groups(docs, table_bytes, block_bytes)
+def exact_duplicates(
+    docs: DataFrame, table_bytes: int = TABLE_BYTES, block_bytes: int = BLOCK_BYTES, partitions: int | None = None
+) -> DataFrame:
+    """One row per row of `docs`: doc_id, keep_id, group_size, kept, digest (SHA-256 of the normalised text).
+
+    Without `partitions` there are as many as let half a table take a partition, so that skewed
+    partitions only are partitioned again, and the session's number at least.
+    """
+
+    size = F.octet_length(F.coalesce("text", F.lit(""))).cast("long")
+    members = docs.select(F.col("doc_id").cast("long").alias("doc_id"), _digest(utf8("text")).alias("digest"), size.alias("bytes"))
+    members = stage(members, "digests")
+    if partitions is None:
+        total = members.agg(F.coalesce(F.sum("bytes"), F.lit(0))).first()[0]
+        partitions = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), 2 * total // table_bytes)
+    decided = groups(docs, table_bytes, block_bytes, partitions)
     joined = join_hot(members, decided, "digest", "doc_id")
     keep = F.nullif("keep", F.lit(_NO_ID))
     return joined.select(

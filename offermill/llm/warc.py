@@ -21,6 +21,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import re
 import struct
 from collections.abc import Iterator
 from urllib.parse import quote, unquote
@@ -70,15 +71,24 @@ def record(page_id: int | None, url: str | None, payload: bytes, refers_to: int
         "Content-Type: application/http; msgtype=response", f"Content-Length: {len(block)}",
     ]
     if url is not None:
-        lines.append(f"WARC-Target-URI: {quote(url, safe=_URL_SAFE)}")
+        if _PLAIN_URL.fullmatch(url):
+            lines.append(f"WARC-Target-URI: {url}")
+        else:
+            lines += [f"WARC-Target-URI: {quote(url)}", f"{_ESCAPED}: yes"]
     if revisit:
         lines.append("WARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest")
         lines.append(f"WARC-Refers-To: {_identifier(refers_to)}")
     return "\r\n".join(lines).encode() + b"\r\n\r\n" + block + b"\r\n\r\n"
 
 
-#: Everything printable but the percent sign stays; blanks, controls and others are escaped and read back.
-_URL_SAFE = ":/?#[]@!$&'()*+,;=~-._"
+#: An address of visible ASCII is written as it is; any other is escaped, and marked so that it is read back.
+_PLAIN_URL = re.compile(r"[\x21-\x7e]*")
+_ESCAPED = "X-Target-URI-Escaped"
+
+
+def _target(head: dict[str, str]) -> str | None:
+    url = head.get("WARC-Target-URI")
+    return unquote(url) if url is not None and _ESCAPED in head else url
 
 
 def records_of(plain: bytes) -> Iterator[tuple]:
@@ -95,7 +105,7 @@ def records_of(plain: bytes) -> Iterator[tuple]:
         yield (
             _page_id(head["WARC-Record-ID"]), size, head["WARC-Payload-Digest"].removeprefix("sha1:"), head["WARC-Type"],
             _page_id(head["WARC-Refers-To"]) if revisit else None,
-            unquote(head["WARC-Target-URI"]) if "WARC-Target-URI" in head else None, None if revisit else payload,
+            _target(head), None if revisit else payload,
         )
         at = start + len(block) + 4
 

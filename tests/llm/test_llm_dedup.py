@@ -105,7 +105,7 @@ def _exact(rows):
 
 @pytest.mark.parametrize("limit", [1, 60, 1 << 20])
 def test_exact_duplicates_at_every_table_size(make_docs, odd_rows, limit):
-    got = exact.exact_duplicates(make_docs(odd_rows), table_bytes=limit, block_bytes=limit)
+    got = exact.exact_duplicates(make_docs(odd_rows), table_bytes=limit, block_bytes=limit, partitions=3)
     assert sorted((tuple(r) for r in got.collect()), key=str) == _exact(odd_rows)
 
 
