@@ -31,7 +31,7 @@ from .decontam import words_of
 BITS = 20
 MAX_ROWS = 20_000
 MAX_TERMS = 16_384
-LEAST_Z = 4.0
+LEAST_Z = 3.5
 LEAST_ROWS = 4
 FACTORS = 8
 EPOCHS = 40
