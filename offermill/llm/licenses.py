@@ -148,7 +148,9 @@ def _licence_examples(spark: SparkSession) -> DataFrame:
 
 def _other_examples(docs: DataFrame) -> DataFrame:
     """Paragraphs of the sampled documents that share no three words with a template; family -1."""
-    sampled = docs.select("doc_id", "text").orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE_DOCS)
+    # Tasks send ids only; the sampled texts are read by a bounded list of ids.
+    chosen = docs.select("doc_id").orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE_DOCS).distinct()
+    sampled = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id", "left_semi")
     lines = paragraphs(sampled).orderBy(F.xxhash64("doc_id", "paragraph", "line")).limit(SAMPLE_PARAGRAPHS)
     lines = lines.select(F.xxhash64("doc_id", "paragraph", "line").alias("example"), "tokens")
     known = templates(docs.sparkSession).select(F.explode(_grams(F.col("tokens"), 3)).alias("gram"))
