@@ -109,11 +109,11 @@ def _sample(docs: DataFrame, labels: DataFrame, max_rows: int) -> DataFrame:
         cache: dict = {}
         for batch in batches:
             rows = _place_columns(batch.column(0).to_pylist(), None, cache)
-            yield pa.record_batch([pa.array(rows, pa.list_(pa.int64())), batch.column(1)], names=["terms", "label"])
+            yield pa.record_batch([pa.array([r.astype(np.int32) for r in rows], pa.list_(pa.int32())), batch.column(1)], names=["terms", "label"])
 
     rows = docs.select("doc_id", utf8("text").alias("text")).join(F.broadcast(chosen), F.col("doc_id") == F.col("_id"))
     rows = rows.select("text", (F.col("_toxic") > 0).cast("int").alias("label"))
-    return rows.mapInArrow(terms, "terms array<long>, label int")
+    return rows.mapInArrow(terms, "terms array<int>, label int")
 
 
 def _choose(rows: list[np.ndarray], labels: np.ndarray, least_z: float, max_terms: int) -> np.ndarray:
@@ -136,7 +136,9 @@ def learn(rows: list[np.ndarray], labels: np.ndarray, least_z: float = LEAST_Z,
     if share in (0, 1) or not len(labels):
         return Machine(float(np.log((share + 1e-6) / (1 - share + 1e-6))), np.zeros(0, np.int64), np.zeros(0), np.zeros((0, FACTORS)))
     terms = _choose(rows, labels, least_z, max_terms)
-    rows = [np.searchsorted(terms, r[np.isin(r, terms)]) for r in rows]
+    place = np.full(_MASK + 1, -1, np.int64)
+    place[terms] = np.arange(len(terms))
+    rows = [p[p >= 0] for p in (place[r] for r in rows)]
     rng = np.random.default_rng(7)
     model = Machine(float(np.log(share / (1 - share))), terms, np.zeros(len(terms)), rng.normal(0, 0.02, (len(terms), FACTORS)))
     past_w, past_v, past_b = np.full(len(terms), 1e-6), np.full((len(terms), FACTORS), 1e-6), 1e-6
@@ -172,7 +174,7 @@ def fit(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS) -> Machine
         rows: list[np.ndarray] = []
         marks: list[int] = []
         for batch in batches:
-            rows += [np.asarray(r, np.int64) for r in batch.column(0).to_pylist()]
+            rows += [r.values.to_numpy() for r in batch.column(0)]
             marks += batch.column(1).to_pylist()
         order = sorted(range(len(rows)), key=lambda i: (marks[i], rows[i].tobytes()))  # any order of arrival learns the same
         model = learn([rows[i] for i in order], np.array([marks[i] for i in order], np.int64))
