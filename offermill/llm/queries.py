@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import decontam, exact, licenses, lm, packing, pii, simhash, tokens, toxicity, warc
+from . import decontam, exact, licenses, lm, packing, phrases, pieces, pii, ranked, simhash, tokens, toxicity, warc
 from .common import read_table
 
 
@@ -72,6 +72,23 @@ def op10_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm.score(read_table(spark, sf_dir, "documents"), targets)
 
 
+def op11_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(read_table(spark, sf_dir, "documents"))
+
+
+def op12_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    encoded = pieces.encode(read_table(spark, sf_dir, "documents"), path, keep=["doc_id"])
+    digest = F.sha2(F.concat_ws(",", F.col("ids").cast("array<string>")), 256)
+    return pieces.decode(encoded, path).select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"), digest.alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256")
+    )
+
+
+def op13_ranked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked.search(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
 QUERIES = {
     "op1_simhash": op1_simhash,
     "op2_packing": op2_packing,
@@ -83,6 +100,9 @@ QUERIES = {
     "op8_pii": op8_pii,
     "op9_decontaminate": op9_decontaminate,
     "op10_lm_score": op10_lm_score,
+    "op11_phrases": op11_phrases,
+    "op12_pieces": op12_pieces,
+    "op13_ranked": op13_ranked,
 }
 
 SQL: dict[str, str] = {
@@ -128,4 +148,60 @@ SQL: dict[str, str] = {
                coalesce(n_hit, 0) > 0 AS contaminated
         FROM words w LEFT JOIN hit_words USING (id) LEFT JOIN hit_items USING (id) WHERE kind = 'd'
     """,
+    "op11_phrases": r"""
+        WITH pieces AS (
+            SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+                translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+            FROM documents),
+        worded AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces),
+        grams AS (
+            SELECT lang, k, w[i:i + k - 1] AS g FROM (
+                SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM worded, (VALUES (1), (2), (3)) AS sizes(k))),
+        f AS (SELECT lang, k, g, count(*) AS f FROM grams GROUP BY lang, k, g),
+        totals AS (SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM f WHERE k = 1 GROUP BY lang),
+        candidates AS (SELECT lang, k, g, f AS a FROM f WHERE k > 1 AND f >= 10),
+        parts AS (
+            SELECT lang, k, g, a, cut, g[1:cut] AS front, g[cut + 1:k] AS rest
+            FROM (SELECT *, unnest(range(1, k)) AS cut FROM candidates)),
+        cuts AS (
+            SELECT c.lang, c.k, c.g, c.a, x.f AS l, y.f AS r, c.cut,
+                   (1000000::HUGEINT * c.a * c.a) // (x.f::HUGEINT * y.f) AS score
+            FROM parts c JOIN f x ON x.lang = c.lang AND x.g = c.front JOIN f y ON y.lang = c.lang AND y.g = c.rest),
+        lowest AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, g ORDER BY score, cut) = 1),
+        longer AS (
+            SELECT lang, g[1:2] AS g, a FROM candidates WHERE k = 3 UNION ALL SELECT lang, g[2:3], a FROM candidates WHERE k = 3),
+        kept AS (
+            SELECT * FROM lowest c WHERE NOT EXISTS (
+                SELECT 1 FROM longer b WHERE b.lang = c.lang AND b.g = c.g AND 100 * b.a >= 50 * c.a)),
+        ranked AS (
+            SELECT lang, array_to_string(g, ' ') AS phrase, a, l, r, CAST(score AS BIGINT) AS score FROM kept)
+        SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
+        FROM ranked JOIN totals USING (lang)
+        QUALIFY row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) <= 2000
+    """,
+    "op13_ranked": r"""
+        WITH doc_terms AS (
+            SELECT rid, any_value(doc_id) AS doc_id, term, count(*) AS tf FROM (
+                SELECT row_number() OVER () AS rid, doc_id, unnest(regexp_extract_all(
+                    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM documents) GROUP BY rid, term),
+        lengths AS (SELECT rid, CAST(sum(tf) AS BIGINT) AS n FROM doc_terms GROUP BY rid),
+        totals AS (SELECT count(*) AS docs, CAST(sum(n) AS BIGINT) AS terms FROM lengths),
+        asked AS (
+            SELECT item_id, term, count(*) AS repeats FROM (
+                SELECT item_id, unnest(regexp_extract_all(
+                    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark) GROUP BY item_id, term),
+        weights AS (
+            SELECT term, CAST(floor(1000 * ln(CAST(2 * any_value(docs) + 2 AS DOUBLE) / (2 * count(*) + 1))) AS BIGINT) AS w
+            FROM doc_terms, totals WHERE term IN (SELECT term FROM asked) GROUP BY term),
+        scored AS (
+            SELECT item_id, rid, any_value(doc_id) AS doc_id,
+                   CAST(sum(repeats * w * ((1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * n * docs) // terms)))) AS BIGINT) AS score
+            FROM asked JOIN weights USING (term) JOIN doc_terms USING (term) JOIN lengths USING (rid), totals
+            GROUP BY item_id, rid)
+        SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score
+        FROM scored WHERE score > 0
+        QUALIFY row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) <= 20
+    """,
 }

@@ -8,6 +8,7 @@ import duckdb
 import numpy as np
 import public_tokenizers
 import pytest
+import sentencepiece
 from tokenizers import Tokenizer
 
 import __spark_entry__ as entry
@@ -135,6 +136,16 @@ def test_op10(spark, rows):
     assert all(abs(r.score - (r.target_loss - r.background_loss)) < 1e-9 for r in got)
 
 
+def test_op12(spark, rows):
+    library = sentencepiece.SentencePieceProcessor(model_file=public_tokenizers.path("piece_bpe_32k.model"))
+    want = {}
+    for d, t in rows:
+        ids = library.encode(t or "")
+        digests = (hashlib.sha256(x.encode()).hexdigest() for x in (",".join(map(str, ids)), library.decode(ids)))
+        want[d] = (len(ids), *digests)
+    assert {r[0]: tuple(r)[1:] for r in _run(spark, "op12_pieces")} == want
+
+
 def test_pipeline_stage_by_stage(spark, rows):
     docs, before = read_table(spark, SMALL, "documents"), dict(rows)
     columns = docs.columns
