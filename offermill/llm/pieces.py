@@ -14,7 +14,7 @@ has one such row at most, and the encoding is found from left to right:
   shortened.
 
 Letters that are no piece stand alone and become their bytes. Where no piece of the model has a blank behind
-another letter, texts are cut before the blanks that follow a letter, and cuts that come often are remembered.
+another letter, texts are cut before the blanks that follow a letter; equal cuts of a chunk of texts are encoded once, and different ones are walked side by side.
 
 Defined results: null and empty texts have no ids and decode to the empty text; a blank mark (U+2581) in a
 text decodes to a blank, as in the library; repeated rows are encoded each; extra columns are kept.
@@ -23,20 +23,19 @@ text decodes to a blank, as in the library; repeated rows are encoded each; extr
 from __future__ import annotations
 
 import codecs
+import itertools
 import re
-from array import array
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 BLANK = "▁"
-MAX_CUTS = 150_000  # remembered cuts and pairs; both are dropped when full, which changes no result
-MAX_PAIRS = 300_000
-LONG_CUT = 48
-CHUNK_IDS = 2_000_000
+MAX_PAIRS = 300_000  # remembered pairs; they are dropped when full, which changes no result
+CHUNK = 6 << 20  # bytes of text, or ids times four, that are worked on at once; a text is never cut for it
+_MIX = 0x9E3779B97F4A7C1
 
 codecs.register_error("one-by-one", lambda e: ("�", e.start + 1))
 
@@ -52,7 +51,7 @@ class Pieces:
         self.spelling: list[str] = []
         self.written: list[bytes] = []  # what a piece decodes to
         self.score: dict[str, float] = {}
-        self.bytes = array("i", [model.unk_id()]) * 256
+        self.bytes = np.full(256, model.unk_id(), np.int32)
         self.automaton = ahocorasick.Automaton()
         known: dict[str, int] = {}
         for k in range(len(model)):
@@ -73,15 +72,19 @@ class Pieces:
                 known[piece] = k
                 self.automaton.add_word(piece, k)
         self.automaton.make_automaton()
-        self.length = array("i", map(len, self.spelling))
-        self.shorter = array("i", [-1]) * len(self.spelling)
+        self.none = len(self.spelling)  # stands for a letter that is no piece
+        self.spelling.append("")
+        self.length = np.array([*map(len, self.spelling[:-1]), 1], np.int64)
+        self.shorter = np.full(self.none + 1, -1, np.int32)
         for piece, k in known.items():
             self.shorter[k] = next((known[piece[:n]] for n in range(len(piece) - 1, 0, -1) if piece[:n] in known), -1)
-        self.known = known
+        letters = set("".join(known))
+        self.between = next(c for c in map(chr, range(0x10FFFF, 0, -1)) if c not in letters)
         inside = any(BLANK in piece.lstrip(BLANK) for piece in known)
         self.cut = re.compile(".+" if inside else f"{BLANK}*[^{BLANK}]+|{BLANK}+", re.DOTALL)
         self.pairs: dict[int, bool] = {}
-        self.cuts: dict[str, array] = {}
+        self.slots = np.full(1 << 20, -1, np.int64)  # the pairs used of late, by hash
+        self.stands = np.zeros(1 << 20, bool)
 
     def joined(self, text: str) -> list[str]:
         """The pieces of a short text by joining its letters, best score first."""
@@ -96,72 +99,95 @@ class Pieces:
                 return parts
             parts[at : at + 2] = [parts[at] + parts[at + 1]]
 
-    def _stands(self, before: int, piece: int) -> bool:
-        """Whether a piece stays whole behind another one (-1: at the begin, or behind a letter that is no piece)."""
-        key = (before + 1) << 24 | piece
-        found = self.pairs.get(key)
-        if found is None:
-            both = [self.spelling[before]] * (before >= 0) + [self.spelling[piece]]
-            if len(self.pairs) >= MAX_PAIRS:
-                self.pairs.clear()
-            found = self.pairs[key] = self.joined("".join(both)) == both
-        return found
-
-    def encode_cut(self, text: str) -> array:
-        n, length, shorter = len(text), self.length, self.shorter
-        longest = array("i", [-1]) * n
-        for end, piece in self.automaton.iter(text):  # later ends overwrite earlier ones: longer pieces
-            longest[end - length[piece] + 1] = piece
-        failed = bytearray((n >> 3) + 1)
-        taken = array("i")  # pieces; -1 for a letter that is none
-        at, guess = 0, longest[0]
-        while at < n:
-            if longest[at] < 0:
-                taken.append(-1)
-                at += 1
-                guess = longest[at] if at < n else -1
-                continue
-            before = taken[-1] if taken else -1
-            while guess >= 0:
-                end = at + length[guess]
-                if not failed[end >> 3] >> (end & 7) & 1 and self._stands(before, guess):
-                    break
-                guess = shorter[guess]
-            if guess >= 0:
-                taken.append(guess)
-                at = end
-                guess = longest[at] if at < n else -1
-            else:
-                failed[at >> 3] |= 1 << (at & 7)
-                last = taken.pop()
-                at -= length[last]
-                guess = shorter[last]
-        if -1 not in taken:
-            return taken
-        out, at = array("i"), 0
-        for piece in taken:
-            if piece >= 0:
-                out.append(piece)
-                at += length[piece]
-            else:
-                out.extend(self.bytes[b] for b in text[at].encode())
-                at += 1
+    def _stand(self, before: np.ndarray, piece: np.ndarray) -> np.ndarray:
+        """Whether pieces stay whole behind the ones before them (-1: at the begin, or behind a letter that is no piece)."""
+        key = (before.astype(np.int64) + 1) << 24 | piece
+        slot = (key * _MIX >> 40) & (len(self.slots) - 1)
+        missing, out = np.flatnonzero(self.slots[slot] != key), self.stands[slot]
+        if len(missing):
+            keys, place = np.unique(key[missing], return_inverse=True)
+            found = []
+            for k in keys.tolist():
+                stands = self.pairs.get(k)
+                if stands is None:
+                    both = [self.spelling[p] for p in ((k >> 24) - 1, k & 0xFFFFFF) if p >= 0]
+                    if len(self.pairs) >= MAX_PAIRS:
+                        self.pairs.clear()
+                    stands = self.pairs[k] = k & 0xFFFFFF == self.none or self.joined("".join(both)) == both
+                found.append(stands)
+            out[missing] = np.array(found)[place]
+            self.slots[slot[missing]], self.stands[slot[missing]] = key[missing], out[missing]
         return out
 
-    def encode(self, text: str) -> array:
-        out = array("i")
-        if not text:
-            return out
-        cuts = self.cuts
-        for cut in self.cut.findall(BLANK + text.replace(" ", BLANK)):
-            ids = cuts.get(cut)
-            if ids is None:
-                ids = self.encode_cut(cut)
-                if len(cut) <= LONG_CUT:
-                    if len(cuts) >= MAX_CUTS:
-                        cuts.clear()
-                    cuts[cut] = ids
-            out.extend(ids)
+    def encode_cuts(self, cuts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all cuts in a row, and how many each has. The cuts are walked side by side."""
+        joined = self.between.join(cuts) + self.between
+        lengths = np.fromiter(map(len, cuts), np.int64, len(cuts))
+        starts = np.cumsum(lengths + 1) - lengths - 1
+        stops = starts + lengths
+        found = np.fromiter(itertools.chain.from_iterable(self.automaton.iter(joined)), np.int64).reshape(-1, 2)
+        longest = np.full(len(joined) + 1, self.none, np.int32)
+        longest[found[:, 0] + 1 - self.length[found[:, 1]]] = found[:, 1]  # later ends overwrite earlier ones: longer pieces
+        failed = np.zeros(len(joined) + 1, bool)  # one mark per position
+        ended = np.full(len(joined) + 1, -1, np.int32)  # the piece that ends before a position; none before a begin
+        lane = np.flatnonzero(lengths)
+        at, stop = starts[lane], stops[lane]
+        before, guess = np.full(len(lane), -1, np.int32), longest[at]
+        while len(at):
+            back = np.flatnonzero(guess < 0)
+            if len(back):  # nothing stands here: take the piece before back and shorten it
+                failed[at[back]] = True
+                last = ended[at[back]]
+                at[back] -= self.length[last]
+                guess[back] = self.shorter[last]
+                before[back] = ended[at[back]]
+                before[before == self.none] = -1
+            tried = np.flatnonzero(guess >= 0)
+            end = at[tried] + self.length[guess[tried]]
+            good = ~failed[end]
+            good[good] = self._stand(before[tried[good]], guess[tried[good]])
+            guess[tried[~good]] = self.shorter[guess[tried[~good]]]
+            taken, end = tried[good], end[good]
+            ended[end] = before[taken] = guess[taken]
+            before[before == self.none] = -1
+            at[taken], guess[taken] = end, longest[end]
+            if (at == stop).any():
+                more = at < stop
+                at, stop, before, guess = at[more], stop[more], before[more], guess[more]
+        # From the ends back to the begins.
+        marks = np.zeros(len(joined) + 1, bool)
+        lane, at = np.flatnonzero(lengths), stops[lengths > 0]
+        while len(at):
+            marks[at] = True
+            at = at - self.length[ended[at]]
+            more = at > starts[lane]
+            lane, at = lane[more], at[more]
+        ends = np.flatnonzero(marks)
+        ids = ended[ends]
+        owner = np.searchsorted(stops, ends)
+        unknown = np.flatnonzero(ids == self.none)
+        if len(unknown):
+            spelled = [joined[k - 1].encode() for k in ends[unknown].tolist()]
+            times = np.ones(len(ids), np.int64)
+            times[unknown] = [len(x) for x in spelled]
+            ids, owner = np.repeat(ids, times), np.repeat(owner, times)
+            ids[ids == self.none] = self.bytes[np.frombuffer(b"".join(spelled), np.uint8)]
+        return ids, np.bincount(owner, minlength=len(cuts))
+
+    def encode(self, texts: list[str]) -> list[np.ndarray]:
+        """The ids of each text. Equal cuts of the texts are encoded once."""
+        number: dict[str, int] = {}
+        rows = []
+        for text in texts:
+            cuts = self.cut.findall(BLANK + text.replace(" ", BLANK)) if text else []
+            rows.append(np.array([number.setdefault(c, len(number)) for c in cuts], np.int64))
+        ids, sizes = self.encode_cuts(list(number))
+        first = np.cumsum(sizes) - sizes
+        out = []
+        for row in rows:
+            own = sizes[row]
+            begin = np.cumsum(own) - own
+            out.append(ids[np.repeat(first[row] - begin, own) + np.arange(own.sum())])
         return out
 
     def decode(self, ids) -> str:
@@ -194,8 +220,8 @@ def _in_chunks(sizes: np.ndarray, most: int) -> Iterator[tuple[int, int]]:
     yield at, len(sizes)
 
 
-def _mapped(df: DataFrame, column, kind: T.DataType, name: str, each, keep: list[str] | None, most: int = CHUNK_IDS) -> DataFrame:
-    """Columns of `df` with a column `name` of each(value); batches are cut so that a result chunk stays bounded."""
+def _mapped(df: DataFrame, column: Column, kind: T.DataType, name: str, each: Callable[[pa.Array], list], keep: list[str] | None) -> DataFrame:
+    """Columns of `df` with a column `name`; `each` works on chunks of bounded size."""
     kept = [c for c in (df.columns if keep is None else keep) if c != name]
     rows = df.select(F.struct(F.lit(True).alias("_"), *(df[c] for c in kept)).alias("_row"), column.alias("_value"))
     arrow = {"string": pa.string(), "array<int>": pa.list_(pa.int32())}[kind.simpleString()]
@@ -203,9 +229,9 @@ def _mapped(df: DataFrame, column, kind: T.DataType, name: str, each, keep: list
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             values = batch.column(1)
-            sizes = pc.list_value_length(values) if pa.types.is_list(values.type) else pc.binary_length(values)
-            for a, b in _in_chunks(sizes.to_numpy(zero_copy_only=False), most):
-                found = [each(v) for v in values.slice(a, b - a)]
+            sizes = pc.multiply(pc.list_value_length(values), 4) if pa.types.is_list(values.type) else pc.binary_length(values)
+            for a, b in _in_chunks(sizes.to_numpy(zero_copy_only=False), CHUNK):
+                found = each(values.slice(a, b - a))
                 yield pa.record_batch([batch.column(0).slice(a, b - a), pa.array(found, arrow)], names=["_row", name])
 
     schema = T.StructType([rows.schema["_row"], T.StructField(name, kind)])
@@ -216,8 +242,8 @@ def _mapped(df: DataFrame, column, kind: T.DataType, name: str, each, keep: list
 def encode(docs: DataFrame, path: str, text: str = "text", ids: str = "ids", keep: list[str] | None = None) -> DataFrame:
     """The columns `keep` of `docs` (default: all) with the ids of each whole text in a column `ids`."""
 
-    def each(value: pa.Scalar) -> np.ndarray:
-        return np.frombuffer(pieces(path).encode(value.as_py()), np.int32)
+    def each(values: pa.Array) -> list:
+        return pieces(path).encode(values.to_pylist())
 
     return _mapped(docs, F.coalesce(F.col(text), F.lit("")), T.ArrayType(T.IntegerType()), ids, each, keep)
 
@@ -225,7 +251,8 @@ def encode(docs: DataFrame, path: str, text: str = "text", ids: str = "ids", kee
 def decode(encoded: DataFrame, path: str, ids: str = "ids", text: str = "decoded", keep: list[str] | None = None) -> DataFrame:
     """The columns `keep` of `encoded` (default: all) with the text of its ids in a column `text`; null ids have none."""
 
-    def each(value: pa.Scalar) -> str:
-        return pieces(path).decode(value.values.to_numpy(zero_copy_only=False).tolist())
+    def each(values: pa.Array) -> list:
+        model = pieces(path)
+        return [model.decode(v.values.to_numpy(zero_copy_only=False).tolist()) for v in values]
 
     return _mapped(encoded, F.coalesce(F.col(ids), F.array().cast("array<int>")), T.StringType(), text, each, keep)
