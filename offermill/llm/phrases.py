@@ -24,15 +24,16 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
+from ..operators.numbering import number_rows
 from ..session import stage
 from .common import join_hot, utf8
 
 LEAST = 10
 WORDS = 3
 TOP = 2000
-BLOCK_BYTES = 6 << 20  # of text folded at once
+BLOCK_BYTES = 8 << 20  # of text folded at once
 PART_BYTES = 24 << 20  # of text per partition of the sort
 CROWDED = 1_000  # a leading word or pair with more than one in so many of all words is routed deeper
 _HEAVY = 2_000  # pairs with more than one in so many words of a block are named by the block
@@ -41,8 +42,8 @@ _HEAVY = 2_000  # pairs with more than one in so many words of a block are named
 _BYTES = bytes(46 if chr(c) in ".,;:!?\n\v\f\r" else 32 if c == 9 else c + 32 if 65 <= c <= 90 else c for c in range(256))
 
 
-class Suffixes:
-    """Words of a block of texts of one language as numbers from 1 on, and its distinct suffixes with their numbers."""
+class Words:
+    """The words of a block of texts of one language as numbers from 1 on, in a row; 0 stands between pieces."""
 
     def __init__(self, texts: list[bytes]):
         vocabulary: dict[bytes, int] = {b".": 0}
@@ -50,39 +51,54 @@ class Suffixes:
         ids: list[np.ndarray] = []
         for text in texts:
             words = text.translate(_BYTES).replace(b".", b" . ").split(b" ")
-            ids.append(np.array([number(w, len(vocabulary)) for w in words if w] + [0], np.int64))
-        row = np.concatenate([*ids, np.zeros(WORDS, np.int64)])
+            ids.append(np.array([number(w, len(vocabulary)) for w in words if w] + [0], np.int32))
+        self.row = np.concatenate([*ids, np.zeros(WORDS, np.int32)])
         self.words = list(vocabulary)
         self.n = len(self.words)
-        at = np.flatnonzero(row)
-        first, second = row[at], row[at + 1]
-        third = np.where(second > 0, row[at + 2], 0)
-        self.total = len(at)
-        # A vocabulary of a block is far below 2^21, so three words fit one number.
-        found, self.counts = np.unique((first * self.n + second) * self.n + third, return_counts=True)
-        rest, third = np.divmod(found, self.n)
-        first, second = np.divmod(rest, self.n)
-        self.columns = (first, second, third)
-
 
-def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, Suffixes]]:
+    def suffixes(self) -> tuple[tuple[np.ndarray, ...], np.ndarray]:
+        """The distinct suffixes, as words at each depth, and how often they come."""
+        at = np.flatnonzero(self.row)
+        second = self.row[at + 1]
+        # A vocabulary of a block is far below 2^21, so three words fit one number.
+        both = self.row[at].astype(np.int64) * self.n + second
+        found, counts = np.unique(both * self.n + np.where(second > 0, self.row[at + 2], 0), return_counts=True)
+        both, third = np.divmod(found, self.n)
+        first, second = np.divmod(both, self.n)
+        return tuple(c.astype(np.int32) for c in (first, second, third)), counts
+
+    def leading(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """How often each word comes; pairs that are frequent here, as first * n + second; how often those come."""
+        counts = np.bincount(self.row, minlength=self.n)
+        counts[0] = 0
+        total = int(counts.sum())
+        often = counts * _HEAVY > total
+        at = np.flatnonzero(often[self.row[:-1]] & often[self.row[1:]])
+        pairs, number = np.unique(self.row[at].astype(np.int64) * self.n + self.row[at + 1], return_counts=True)
+        heavy = number * _HEAVY > total
+        return counts, pairs[heavy], number[heavy]
+
+
+def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, Words]]:
     """Blocks of the texts of a language, from columns lang and text."""
     held: dict[str, list[bytes]] = {}
     sizes: dict[str, int] = {}
+
+    def block(lang: str) -> tuple[str, Words]:
+        del sizes[lang]
+        return lang, Words(held.pop(lang))
+
     for batch in batches:
         for lang, text in zip(batch.column(0).to_pylist(), batch.column(1)):
             text = text.as_py()
             held.setdefault(lang, []).append(text)
             sizes[lang] = sizes.get(lang, 0) + len(text)
             if sizes[lang] >= BLOCK_BYTES:
-                yield lang, Suffixes(held.pop(lang))
-                del sizes[lang]
-            elif sum(sizes.values()) >= 2 * BLOCK_BYTES:
-                largest = max(sizes, key=sizes.get)
-                yield largest, Suffixes(held.pop(largest))
-                del sizes[largest]
-    for lang, texts in held.items():
-        yield lang, Suffixes(texts)
+                yield block(lang)
+            elif sum(sizes.values()) >= 4 * BLOCK_BYTES:
+                yield block(max(sizes, key=sizes.get))
+    for lang in list(held):
+        yield block(lang)
 
 
 def _rows(docs: DataFrame) -> DataFrame:
@@ -94,18 +110,14 @@ def leading_counts(docs: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for lang, block in _blocks(batches):
-            first, second, _ = block.columns
-            counts = np.bincount(first, block.counts, block.n).astype(np.int64)
+            counts, pairs, weight = block.leading()
             used = np.flatnonzero(counts)
-            pairs, place = np.unique(first * block.n + second, return_inverse=True)
-            weight = np.bincount(place, block.counts).astype(np.int64)
-            heavy = (weight * _HEAVY > block.total) & (pairs % block.n > 0)
-            a, b = np.divmod(pairs[heavy], block.n)
+            a, b = np.divmod(pairs, block.n)
             columns = [
                 pa.array([lang] * (len(used) + len(a)), pa.string()),
                 pa.array([block.words[k] for k in used] + [block.words[k] for k in a], pa.binary()),
                 pa.array([None] * len(used) + [block.words[k] for k in b], pa.binary()),
-                pa.array([*counts[used].tolist(), *weight[heavy].tolist()], pa.int64()),
+                pa.array([*counts[used].tolist(), *weight.tolist()], pa.int64()),
             ]
             yield pa.record_batch(columns, names=["lang", "first", "second", "n"])
 
@@ -134,23 +146,24 @@ def routed(docs: DataFrame, words: set, pairs: set, parts: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for lang, block in _blocks(batches):
-            first, second, third = block.columns
+            columns, counts = block.suffixes()
+            first, second, third = columns
             h = _hash([lang.encode() + b"\0" + w for w in block.words])
             deep = np.array([(lang, w) in words for w in block.words])[first]
             route = h[first]
             route = np.where(deep, route * np.uint64(0x9E3779B97F4A7C15) + h[second], route)
             place = {w: k for k, w in enumerate(block.words)}
-            crowded = [place[a] * block.n + place[b] for x, a, b in pairs if x == lang and a in place and b in place]
+            crowded = [np.int64(place[a]) * block.n + place[b] for x, a, b in pairs if x == lang and a in place and b in place]
             if crowded:
-                deeper = np.isin(first * block.n + second, crowded)
+                deeper = np.isin(first.astype(np.int64) * block.n + second, crowded)
                 route = np.where(deeper, route * np.uint64(0x9E3779B97F4A7C15) + h[third], route)
             part = (route ^ (route >> np.uint64(31))) % np.uint64(parts)
             order = np.argsort(part, kind="stable")  # suffixes of a part stay in their order
             cuts = np.flatnonzero(np.diff(part[order], prepend=parts + 1))
             for a, b in zip(cuts, [*cuts[1:], len(order)]):
                 own = order[a:b]
-                used, numbers = np.unique(np.concatenate([c[own] for c in block.columns]), return_inverse=True)
-                lists = [pa.array([x], pa.list_(pa.int32())) for x in (*numbers.astype(np.int32).reshape(3, -1), block.counts[own].astype(np.int32))]
+                used, numbers = np.unique(np.concatenate([c[own] for c in columns]), return_inverse=True)
+                lists = [pa.array([x], pa.list_(pa.int32())) for x in (*numbers.astype(np.int32).reshape(3, -1), counts[own].astype(np.int32))]
                 spelled = pa.array([[block.words[k] for k in used]], pa.list_(pa.binary()))
                 yield pa.record_batch(
                     [pa.array([int(part[own[0]])], pa.int32()), pa.array([lang], pa.string()), spelled, *lists],
@@ -202,28 +215,20 @@ def equal_parts(columns: list[np.ndarray], weight: np.ndarray, least: int) -> It
         pointers = pointers[np.argsort(key.astype(np.int32), kind="stable")]
 
 
-def _joined(vocabularies: list, columns: list[list[np.ndarray]]) -> tuple[dict[bytes, int], list[np.ndarray]]:
-    """The suffixes of all blocks as numbers of one vocabulary."""
-    known: dict[bytes, int] = {b".": 0}
-    numbered = []
-    for words in vocabularies:
-        numbered.append(np.array([known.setdefault(w, len(known)) for w in words], np.int32))
-    return known, [np.concatenate([m[c] for m, c in zip(numbered, column)]) for column in columns]
-
-
 def _phrases_of(batches: Iterator[pa.RecordBatch], pairs: set, least: int) -> Iterator[pa.RecordBatch]:
-    held: dict[str, list[list]] = {}
+    held: dict[str, tuple[dict, list[list[np.ndarray]]]] = {}  # one vocabulary for the suffixes of all blocks
     for batch in batches:
         for k, lang in enumerate(batch.column(1).to_pylist()):
-            lists = held.setdefault(lang, [[] for _ in range(5)])
-            lists[0].append(batch.column(2)[k].as_py())
-            for j in range(4):
-                lists[j + 1].append(batch.column(3 + j)[k].values.to_numpy(zero_copy_only=False))
+            known, lists = held.setdefault(lang, ({b".": 0}, [[], [], [], []]))
+            spelled = batch.column(2)[k].values.to_pylist()
+            numbers = np.fromiter((known.setdefault(w, len(known)) for w in spelled), np.int32, len(spelled))
+            for j in range(WORDS):
+                lists[j].append(numbers[batch.column(3 + j)[k].values.to_numpy(zero_copy_only=False)])
+            lists[WORDS].append(batch.column(3 + WORDS)[k].values.to_numpy(zero_copy_only=False).copy())
     while held:
-        lang, (vocabularies, first, second, third, n) = held.popitem()
-        known, columns = _joined(vocabularies, [first, second, third])
-        weight = np.concatenate(n).astype(np.int64)
-        del vocabularies, first, second, third, n
+        lang, (known, lists) = held.popitem()
+        *columns, weight = map(np.concatenate, lists)
+        del lists
         words = list(known)
         split = {(known[a], known[b]) for x, a, b in pairs if x == lang and a in known and b in known}
         for depth, pointers, sizes in equal_parts(columns, weight, least):
@@ -303,7 +308,8 @@ def collocations(docs: DataFrame, least: int = LEAST, top: int = TOP) -> DataFra
     both = both.union(triples.withColumn("cut", cut).select("lang", "w1", "w2", "w3", "n", "cut.l", "cut.r", "cut.score"))
     phrase = F.concat_ws(" ", *(F.decode(c, "UTF-8") for c in ("w1", "w2", "w3")))
     both = both.select("lang", phrase.alias("phrase"), F.col("n").alias("a"), "l", "r", "score")
-    order = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
-    best = both.withColumn("rank", F.row_number().over(order).cast("long")).filter(F.col("rank") <= top)
+    # A language may hold a third of all rows or more: places come from a range shuffle, not from a window.
+    order = [F.desc("score"), F.desc("a"), F.col("phrase")]
+    best = number_rows(stage(both, "phrase-scores"), ["lang"], order, "rank").filter(F.col("rank") <= top)
     sizes = F.broadcast(spark.createDataFrame(list(totals.items()), "lang string, n long"))
     return best.join(sizes, "lang").select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
