@@ -22,6 +22,7 @@ from __future__ import annotations
 import functools
 import json
 import zlib
+from array import array
 from dataclasses import dataclass
 
 import numpy as np
@@ -30,6 +31,7 @@ import regex
 SLOT_BITS = 21
 _MIX = 0x9E3779B97F4A7C1
 LANE = 512
+ROW_WORDS = 5  # of 64 bits: 256 bytes and the closing mark
 
 # Character classes.
 END, SPACE, BLANK, NUMBER, OTHER, APOSTROPHE, LETTER = range(7)
@@ -201,12 +203,19 @@ class Merger:
                     token_at.append(-1)
                 node = children[node][s]
             token_at[node] = token
-        self.goto = np.zeros((len(children), 257), np.int32)
         self.longest = np.full(len(children), -1, np.int32)  # longest token that ends at a node
         self.shorter = np.full(tokens, -1, np.int32)  # next longest one
         self.length = np.zeros(tokens, np.int32)
         for token, symbols in spelled.items():
             self.length[token] = len(symbols)
+        # Most transitions are those of the root. Of each node only the others are kept, in rows that
+        # nodes without children share with the node of their longest proper ending.
+        self.root = np.zeros(64 * ROW_WORDS, np.int32)
+        for s, child in children[0].items():
+            self.root[s] = child
+        self.row = np.zeros(len(children), np.int32)
+        symbols, targets, sizes = array("H"), array("i"), [0]
+        begins = [0]
         shorter_node = [0] * len(children)
         queue = [0]
         for node in queue:  # breadth first
@@ -216,13 +225,40 @@ class Merger:
             self.longest[node] = token if token >= 0 else below
             if token >= 0:
                 self.shorter[token] = below
-            row = self.goto[node]
-            if node:
-                row[:] = self.goto[back]
+            if not node:
+                queue += children[0].values()
+                continue
+            at = begins[self.row[back]]
+            known = dict(zip(symbols[at : at + sizes[self.row[back]]], targets[at : at + sizes[self.row[back]]]))
+            if not children[node]:
+                self.row[node] = self.row[back]
+                continue
             for s, child in children[node].items():
-                shorter_node[child] = int(row[s]) if node else 0
-                row[s] = child
+                shorter_node[child] = known[s] if s in known else int(self.root[s])
                 queue.append(child)
+            known.update(children[node])
+            self.row[node] = len(sizes)
+            begins.append(len(symbols))
+            sizes.append(len(known))
+            listed = sorted(known)
+            symbols.extend(listed)
+            targets.extend(known[s] for s in listed)
+        self._pack(np.array(sizes), np.frombuffer(symbols, np.uint16).astype(np.int64), np.frombuffer(targets, np.int32))
+
+    def _pack(self, sizes: np.ndarray, symbols: np.ndarray, targets: np.ndarray) -> None:
+        """Rows as bit sets of their symbols; the place of a target is the number of bits before its own."""
+        word = np.repeat(np.arange(len(sizes)) * ROW_WORDS, sizes) + (symbols >> 6)
+        self.bits = np.zeros(len(sizes) * ROW_WORDS, np.uint64)
+        np.bitwise_or.at(self.bits, word, np.uint64(1) << (symbols & 63).astype(np.uint64))
+        numbers = np.bitwise_count(self.bits).astype(np.int64)
+        self.before = (np.cumsum(numbers) - numbers).astype(np.int32)
+        self.targets = np.append(targets, np.int32(0))
+
+    def _goto(self, node: np.ndarray, symbol: np.ndarray) -> np.ndarray:
+        at = self.row[node] * ROW_WORDS + (symbol >> 6)
+        bits, bit = self.bits[at], np.uint64(1) << (symbol & 63).astype(np.uint64)
+        place = self.before[at] + np.bitwise_count(bits & (bit - np.uint64(1)))
+        return np.where(bits & bit > 0, self.targets[place], self.root[symbol])
 
     def _edge(self, token: int, side: int) -> list[tuple[int, float]]:
         """The outermost parts of a token on one side, each with the rank that consumes it."""
@@ -289,7 +325,7 @@ class Merger:
             closing = steps[:m] == k + 1
             if self.mark:
                 symbol[closing] = 256
-            node[:m] = self.goto[node[:m], symbol]
+            node[:m] = self._goto(node[:m], symbol)
             token, count = np.empty(m, np.int32), np.empty(m, np.int32)
             todo, guess = np.arange(m), self.longest[node[:m]]
             while len(todo):

@@ -36,14 +36,15 @@ def hot_values(df: DataFrame, key: str, floor: int = HOT_ROWS) -> list:
 
 
 def join_hot(
-    left: DataFrame, right: DataFrame, key: str, spread: str, how: str = "inner", floor: int = HOT_ROWS, ways: int = 64
+    left: DataFrame, right: DataFrame, key: str, spread: str, how: str = "inner", floor: int = HOT_ROWS, ways: int = 64,
+    hot: list | None = None,
 ) -> DataFrame:
     """Join many `left` rows with `right` rows on `key`; rows of hot keys are dealt over `ways` tasks.
 
-    `left` is read once more for the counts: keep it staged or narrow. Only rows of hot keys
-    get salts, and only their `right` rows are copied, once for each salt.
+    `left` is read once more for the counts, unless `hot` names the hot keys: keep it staged or narrow. Only
+    rows of hot keys get salts, and only their `right` rows are copied, once for each salt.
     """
-    hot = hot_values(left, key, floor)
+    hot = hot_values(left, key, floor) if hot is None else hot
     if not hot:
         return left.join(right, key, how)
     schema = left.select(F.col(key).alias("_hot")).schema

@@ -18,6 +18,7 @@ from offermill.llm.common import read_table
 from offermill.session import stage
 
 from test_llm_dedup import _exact, _fingerprint, _groups
+from test_llm_near import _least
 from test_llm_scans import PLAIN, _contaminated, _spans
 
 SMALL = "/root/testdata/sf0.001"
@@ -165,7 +166,7 @@ def test_pipeline_stage_by_stage(spark, rows):
         elif name == "exact_dedup":
             want = {d for d, keep, *_ in _exact(listed) if d == keep}
         elif name == "simhash_dedup":
-            want = {d for d, (_, least) in _kept_ids(listed).items() if d == least}
+            want = {d for (d, _), least in zip(listed, _least(listed)) if d == least}
         else:
             want = {d for d, _, hits, _ in _contaminated(listed, benchmark, 10) if not hits}
         assert after == {d: before[d] for d in want}
