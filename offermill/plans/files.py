@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
 
@@ -20,3 +21,15 @@ class Folders:
             return []
         return sorted(s.getPath().getName() for s in self._fs.listStatus(self._path(path)))
 
+    def create(self, path: str) -> bool:
+        """Create an empty file; false if there is one already. Of several callers at once one gets true."""
+        try:
+            self._fs.create(self._path(path), False).close()
+        except Py4JJavaError as refused:
+            if self.exists(path):
+                return False
+            raise refused
+        return True
+
+    def remove(self, path: str) -> None:
+        self._fs.delete(self._path(path), True)

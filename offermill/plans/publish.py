@@ -1,10 +1,10 @@
 """Publication: every check first, then new versions beside the live ones, then one manifest.
 
-Executors write a publication into version folders of its own; nothing is moved. A manifest
-names the versions that count, and the newest complete manifest is the state of the live
-tables. Its number is taken by creating its folder, so of two publications at once one is
-refused. If the driver is lost before the manifest is complete, readers see the old state;
-afterwards they see the new one.
+Executors write a publication into version folders of its own; nothing is moved. A commit is a small
+manifest that names what it makes live, and no commit rewrites what another one said: of all complete
+manifests, the one of the highest number counts for each name. Numbers are taken by creating a file that
+must not exist yet, so two commits at once get different numbers, and both stay. If the driver is lost
+before its manifest is complete, readers see the old state; afterwards they see the new one.
 """
 
 from __future__ import annotations
@@ -19,7 +19,7 @@ from ..operators.rollups import report_summary
 from .files import Folders
 
 RUN_TABLES = ("offers", "excluded_offers", "fix_log", "report_summary")
-_MANIFEST = "name string, version string"
+_MANIFEST = "name string, version string, number long"
 _VERSION = T.StructType([T.StructField("version", T.StringType())]).fields
 
 
@@ -41,27 +41,57 @@ def _by_run(df: DataFrame, path: str, *more: str) -> None:
     df.hint("rebalance", "run_id").write.partitionBy("run_id", *more).parquet(path)
 
 
-def _manifests(spark: SparkSession, root: str) -> tuple[Folders, str, list[str]]:
-    folders, place = Folders(spark, root), f"{root.rstrip('/')}/_manifest"
-    return folders, place, folders.names(place)
+def _place(root: str) -> str:
+    return f"{root.rstrip('/')}/_manifest"
+
+
+def _complete(folders: Folders, place: str) -> list[str]:
+    return [n for n in folders.names(place) if n.isdigit() and folders.exists(f"{place}/{n}/_SUCCESS")]
 
 
 def manifest(spark: SparkSession, root: str) -> DataFrame:
     """(name, version) of what is live: a run's id, or a table's name."""
-    folders, place, numbers = _manifests(spark, root)
-    whole = [n for n in numbers if folders.exists(f"{place}/{n}/_SUCCESS")]
+    folders, place = Folders(spark, root), _place(root)
+    whole = _complete(folders, place)
     if not whole:
-        return spark.createDataFrame([], _MANIFEST)
-    return spark.read.schema(_MANIFEST).parquet(f"{place}/{max(whole)}")
+        return spark.createDataFrame([], _MANIFEST).select("name", "version")
+    said = spark.read.schema(_MANIFEST).parquet(*(f"{place}/{n}" for n in whole))
+    return said.groupBy("name").agg(F.max_by("version", "number").alias("version"))
+
+
+def take_number(spark: SparkSession, root: str) -> int:
+    """A manifest number that no other commit has, above all numbers taken so far."""
+    folders, place = Folders(spark, root), _place(root)
+    taken = [int(n) for n in (*folders.names(place), *folders.names(f"{place}/_taken")) if n.isdigit()]
+    number = max(taken, default=0) + 1
+    while not folders.create(f"{place}/_taken/{number:012d}"):
+        number += 1
+    return number
 
 
 def commit(spark: SparkSession, root: str, names: DataFrame, version: str) -> None:
     """Make `version` the live one for all `names` (column name); other names keep theirs."""
-    _, place, numbers = _manifests(spark, root)
-    fresh = names.select("name").distinct().withColumn("version", F.lit(version))
-    kept = manifest(spark, root).join(fresh.select("name"), "name", "left_anti")
-    number = int(max(numbers, default="0")) + 1
-    kept.unionByName(fresh).coalesce(1).write.parquet(f"{place}/{number:012d}")
+    number = take_number(spark, root)
+    said = names.select("name").distinct().select("name", F.lit(version).alias("version"), F.lit(number).cast("long").alias("number"))
+    said.coalesce(1).write.parquet(f"{_place(root)}/{number:012d}")
+
+
+def fold_manifests(spark: SparkSession, root: str) -> int:
+    """Write what the complete manifests say as one, and drop those; returns how many were folded.
+
+    Every name keeps the number it was said with, so a commit that is still under way loses nothing, and wins
+    if its number is higher. The folded manifest is complete before the first old one goes.
+    """
+    folders, place = Folders(spark, root), _place(root)
+    whole = _complete(folders, place)
+    if len(whole) < 2:
+        return 0
+    said = spark.read.schema(_MANIFEST).parquet(*(f"{place}/{n}" for n in whole))
+    latest = said.groupBy("name").agg(F.max_by("version", "number").alias("version"), F.max("number").alias("number"))
+    latest.coalesce(1).write.parquet(f"{place}/{take_number(spark, root):012d}")
+    for n in whole:
+        folders.remove(f"{place}/{n}")
+    return len(whole)
 
 
 def live_runs(spark: SparkSession, root: str, table: str, schema) -> DataFrame:

@@ -308,6 +308,29 @@ def offers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nest(flat_offers(spark, sf_dir))
 
 
+def cited_page(rounds: str) -> str:
+    """Which page an offer of the waterfall cites: some any page, some one that names its provider's endpoint.
+
+    `rounds` is the number of whole rounds of 24 providers among the pages.
+    """
+    return f"case when k % 8 = 1 then k % ({rounds} * 24) when k % 8 = 5 then (k % {rounds}) * 24 + c % 24 end"
+
+
+def documented(q) -> str:
+    """What a page of the waterfall says: its own text and the endpoint of one provider."""
+    return f"html || ' ' || coalesce({q.pick('page_id % 24', _field(3))}, '')"
+
+
+def waterfall(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Offers of which a quarter cites given pages, and those pages."""
+    given = table(spark, sf_dir, "pages")
+    rounds = max(1, given.count() // 24)
+    flat = flat_offers(spark, sf_dir).withColumn("_cited", F.expr(cited_page(str(rounds))))
+    places = given.select(F.col("page_id").alias("_cited"), F.col("url").alias("_url"))
+    citing = flat.join(places, "_cited", "left").withColumn("endpoint_source", F.coalesce("_url", "endpoint_source"))
+    return nest(citing), given.select("page_id", "url", F.expr(documented(Spark)).alias("html"))
+
+
 def runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One run per order year."""
     orders = table(spark, sf_dir, "orders")
@@ -317,6 +340,22 @@ def runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return made.select("run_id", F.expr(Spark.iso("_d")).alias("generated_at"), zone.alias("timezone"))
 
 
+def duck_waterfall() -> str:
+    """The offers of the waterfall, with `cited_ok`: whether the cited page names the endpoint, null without page."""
+    plain = duck_offers().replace(" offers AS (", " plain AS (")
+    rounds = "(SELECT greatest(1, count(*) // 24) FROM pages)"
+    host = "regexp_extract(base_url, '^https?://([^/?#]*)', 1)"
+    bare = "regexp_replace(regexp_replace(base_url, '^https?://', ''), '/$', '')"
+    named = f"contains(said, base_url) OR contains(said, {bare}) OR ({host} <> '' AND contains(said, lower({host})))"
+    return (
+        f"{plain}, said AS (SELECT page_id, url, {documented(Duck)} AS said FROM pages),"
+        f" citing AS (SELECT *, {cited_page(rounds)} AS cited FROM plain),"
+        " offers AS (SELECT citing.* REPLACE (coalesce(url, endpoint_source) AS endpoint_source),"
+        f" CASE WHEN url IS NOT NULL THEN coalesce(base_url, '') <> '' AND coalesce({named}, false) END AS cited_ok"
+        " FROM citing LEFT JOIN said ON cited = page_id)"
+    )
+
+
 def duck_offers() -> str:
     """The same offers as a chain of DuckDB common table expressions."""
 

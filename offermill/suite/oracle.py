@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from .. import fixed_values as fv
-from .fixtures import duck_offers
+from .fixtures import duck_offers, duck_waterfall
 
 
 def _q(value) -> str:
@@ -192,6 +192,12 @@ CLASS_FIXED = (
 )
 ALLOWANCE_BAD = "coalesce(free_allowance_rank NOT IN ('AMPLE', 'NORMAL', 'TIGHT', 'TINY'), true)"
 
+_CITED = (
+    "CASE WHEN NOT cited_ok THEN '[citation] ' || endpoint_source || ' does not document base_url \"' ||"
+    " coalesce(base_url, 'null') || '\"' END"
+)
+# Without the order of the dictionary: the citation gate comes second.
+REASONS = {"endpoint": REASONS.pop("endpoint"), "citation": _CITED, **REASONS}
 _REASON_COLUMNS = ", ".join(f"{sql} AS \"r_{gate}\"" for gate, sql in REASONS.items())
 _FIRST = ", ".join(f'"r_{gate}"' for gate in REASONS)
 _FAILED = ", ".join(
@@ -204,7 +210,7 @@ looked AS (
   SELECT m.*, r.label AS r_label, r.base_url AS r_url, r.docs AS r_docs, r.key AS cap_key, r.openai, r.openrouter,
     r.openai_url, r.anthropic_url, r.template, r.clients
   FROM matched m LEFT JOIN registry r ON m.provider_idx = r.idx)"""
-GATED = f"""{JOINED},
+GATED = f"""{JOINED.replace(OFFERS, duck_waterfall())},
 judged AS (
   SELECT *, {SCHEMA} AS broken, {CLASS_FIXED} AS class_fixed, {_REASON_COLUMNS},
     CASE WHEN section = 'discount_offers' THEN {DISCOUNT} END AS r_discount
@@ -608,8 +614,9 @@ SQL: dict[str, str] = {
     "remove_entries": """SELECT p_partkey AS key, p_partkey AS pos, p_name, p_size AS size FROM part
         WHERE p_partkey NOT IN (SELECT l_partkey FROM lineitem WHERE l_quantity >= 49)""",
     "benchmark_details": f"""WITH {OFFERS} SELECT offer_id, benchmarks_n AS benchmark_count, i - 1 AS benchmark_no,
-        'Bench ' || CAST(i AS VARCHAR) || CASE WHEN i % 2 = 1 THEN ' (v' || CAST(i AS VARCHAR) || ')' ELSE '' END AS label
-        FROM (SELECT offer_id, benchmarks_n, unnest(range(1, benchmarks_n + 1)) AS i FROM offers)""",
+        'Bench ' || CAST(i AS VARCHAR) || CASE WHEN i % 2 = 1 THEN ' (v' || CAST(i AS VARCHAR) || ')' ELSE '' END AS label,
+        coalesce({number('score / i')}, '') || '%' AS value
+        FROM (SELECT offer_id, benchmarks_n, score, unnest(range(1, benchmarks_n + 1)) AS i FROM offers)""",
     "card_attributes": _attributes(),
     "joined_lists": flat(f"{_LISTS[0]} AS conditions_text, {_LISTS[1]} AS suspicion_text"),
     "updates_list": """SELECT strftime(ts, '%Y-%m-%d') AS run_id, 'product_updates' AS section, event_id AS pos,
@@ -618,6 +625,8 @@ SQL: dict[str, str] = {
         CASE WHEN event_id % 11 <> 0 AND event_id % 3 <> 0 THEN 'title ' || event_type END AS title,
         CASE WHEN event_id % 11 <> 0 THEN nullif(props, '') END AS excerpt, CAST(NULL AS VARCHAR) AS url,
         CASE WHEN event_id % 2 = 0 THEN 'https://watch.example' END AS source_url FROM events""",
+    "refused_publication": f"""WITH {CONTRADICTIONS} SELECT run_id, count(*) AS violations, false AS is_live
+        FROM contradictions WHERE coalesce(n, 0) < 2 GROUP BY run_id""",
     "contradiction_notes": f"""WITH {CONTRADICTIONS} SELECT run_id, pos, coalesce(offer_name, '') AS offer_name,
         coalesce(fact, '') AS fact, coalesce(adopted_value, '未定') AS adopted_value FROM contradictions""",
     "watchlist_violations": _watchlist(),
@@ -635,3 +644,4 @@ SQL: dict[str, str] = {
           row_number() OVER (PARTITION BY run_id ORDER BY {RANK_ORDER}) AS n FROM offers WHERE {ADMITTED})
         SELECT run_id, count(*) AS total, max(offer_id) FILTER (WHERE n = 1) AS offer_id FROM admitted GROUP BY run_id""",
 }
+SQL["written_fix_log"] = SQL["fix_log"]

@@ -370,9 +370,10 @@ def contradiction_violations(spark, sf_dir):
 
 
 def _gated(spark, sf_dir):
-    """The waterfall without the citation gate: no offer of the fixture cites a test page."""
+    """The whole waterfall; a quarter of the offers cites given pages."""
+    offers, given = fx.waterfall(spark, sf_dir)
     return gates.apply_gates(
-        fx.offers(spark, sf_dir), registry_source.default_entries(), contract=CONTRACT
+        offers, registry_source.default_entries(), page_source.citation_pages(given), contract=CONTRACT
     )
 
 
@@ -553,9 +554,8 @@ def remove_entries(spark, sf_dir):
 @query
 def benchmark_details(spark, sf_dir):
     rows = cards.benchmark_details(fx.offers(spark, sf_dir))
-    # The shown number is a quotient; both engines compare it by its label only.
     return rows.select(
-        "offer_id", "benchmark_count", F.col("benchmark_no").cast("long").alias("benchmark_no"), "label"
+        "offer_id", "benchmark_count", F.col("benchmark_no").cast("long").alias("benchmark_no"), "label", "value"
     )
 
 
@@ -699,6 +699,31 @@ def publish_report(spark, sf_dir):
     )
 
 
+@query
+def refused_publication(spark, sf_dir):
+    """Publish reports whose contradictions do not hold: the runs to blame, and what is live afterwards."""
+    root = scratch_path(spark, "refused")
+    contradictions = _contradictions(spark, sf_dir)
+    try:
+        publish.publish_report(_gated(spark, sf_dir), fx.runs(spark, sf_dir), root, contradictions)
+    except publish.PublicationRefused:
+        pass
+    bad = gates.contradiction_violations(contradictions).groupBy("run_id").agg(F.count("*").alias("violations"))
+    live = publish.manifest(spark, root).select(F.col("name").alias("run_id"), F.lit(True).alias("is_live"))
+    return bad.join(live, "run_id", "left").select("run_id", "violations", F.coalesce("is_live", F.lit(False)).alias("is_live"))
+
+
+@query
+def written_fix_log(spark, sf_dir):
+    """Write the log of all runs, make it live, read it back."""
+    root = scratch_path(spark, "log")
+    log = gates.fix_log(_gated(spark, sf_dir))
+    publish.write_fix_log(log, root, "first")
+    publish.commit(spark, root, fx.runs(spark, sf_dir).select(F.col("run_id").alias("name")), "first")
+    live = publish.live_runs(spark, root, "fix_log", log.schema)
+    return live.drop("pos").withColumn("step", F.col("step").cast("long"))
+
+
 @query
 def write_watchlist(spark, sf_dir):
     """Write flawless tables, read them back."""

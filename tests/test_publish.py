@@ -1,4 +1,5 @@
 import json
+from concurrent.futures import ThreadPoolExecutor
 
 import pytest
 from pyspark.sql import functions as F
@@ -62,6 +63,46 @@ def test_a_lost_driver_leaves_the_old_state(spark, tmp_path, monkeypatch, moment
     assert [r["name"] for r in live(spark, root, "offers").collect()] == ["z"]
 
 
+def _state(spark, root):
+    return {r["name"]: r["version"] for r in publish.manifest(spark, root).collect()}
+
+
+def _names(spark, *names):
+    return spark.createDataFrame([(n,) for n in names], "name string")
+
+
+def test_commits_that_overlap_are_both_kept(spark, tmp_path, monkeypatch):
+    root = str(tmp_path / "live")
+    publish.commit(spark, root, _names(spark, "r1", "both"), "v1")
+    slow = publish.take_number(spark, root)  # a commit that has its number and is not complete yet
+    publish.commit(spark, root, _names(spark, "r3", "both"), "v3")
+    assert _state(spark, root) == {"r1": "v1", "r3": "v3", "both": "v3"}
+    monkeypatch.setattr(publish, "take_number", lambda *_: slow)
+    publish.commit(spark, root, _names(spark, "r2", "both"), "v2")
+    assert _state(spark, root) == {"r1": "v1", "r2": "v2", "r3": "v3", "both": "v3"}
+
+
+def test_a_number_is_taken_once(spark, tmp_path):
+    root = str(tmp_path / "live")
+    with ThreadPoolExecutor(8) as pool:
+        numbers = list(pool.map(lambda _: publish.take_number(spark, root), range(24)))
+    assert sorted(numbers) == list(range(1, 25))
+
+
+def test_folded_manifests_say_the_same(spark, tmp_path, monkeypatch):
+    root = str(tmp_path / "live")
+    for k in range(4):
+        publish.commit(spark, root, _names(spark, f"r{k}", "both"), f"v{k}")
+    late = publish.take_number(spark, root)
+    before = _state(spark, root)
+    assert publish.fold_manifests(spark, root) == 4 and publish.fold_manifests(spark, root) == 0
+    assert _state(spark, root) == before
+    with monkeypatch.context() as patch:  # taken before the fold, complete after it: later than all that was folded
+        patch.setattr(publish, "take_number", lambda *_: late)
+        publish.commit(spark, root, _names(spark, "both"), "late")
+    assert _state(spark, root) == {**before, "both": "late"}
+
+
 @pytest.mark.parametrize(
     "broken",
     [
