@@ -4,13 +4,17 @@ Terms are the words of a text and their beginnings and endings, hashed into 2^BI
 machine scores the terms present in a text by a weight each, and by a product of short vectors for
 each pair: a pair may be toxic when neither part is.
 
-Learning takes `max_rows` labelled rows at most, those with the smallest hash of doc_id: terms are
-found in parallel, one task fits the bounded sample. Terms that do not differ between the classes by
-`least_z` standard errors are left out, so unknown words never add up to a verdict. The model has
-`max_terms` terms at most and goes to the executors with the closure. Scoring is one pass over whole texts.
+Learning takes `max_rows` labelled rows at most, one for each of the documents with the smallest hash of
+doc_id: terms are found in parallel, one task fits the bounded sample. Kept are terms that differ between the
+classes by `least_z` standard errors alone, and terms of pairs that do so together: of the SCREENED terms
+that vary most between rows every pair is tried, and the PAIRS best whose odds ratio differs between the
+classes by PAIR_Z standard errors count. Other terms are left out, so unknown words never add up to a
+verdict. The model has `max_terms` terms at most, with those of pairs, and goes to the executors with the
+closure. Scoring is one pass over whole texts.
 
 Defined results: null and empty texts get the score of a text without known terms; rows without a
-doc_id are scored and counted as held out; labels that are null, or whose document is missing, teach
+doc_id are scored and counted as held out; of several rows of one labelled document the one whose terms
+have the smallest hash teaches; labels that are null, or whose document is missing, teach
 nothing; of several labels of one document the largest counts; without labels of both classes every
 score is the share of label 1, one half if there are none. Extra columns are kept by `keep_clean`.
 """
@@ -33,11 +37,15 @@ MAX_ROWS = 20_000
 MAX_TERMS = 16_384
 LEAST_Z = 3.5
 LEAST_ROWS = 4
+SCREENED = 1024
+PAIRS = 64
+PAIR_Z = 6.0  # half a million pairs are tried
 FACTORS = 8
 EPOCHS = 40
 THRESHOLD = 0.7
 _MASK = (1 << BITS) - 1
 _CACHE = 200_000
+_SCREEN_ROWS = 2_000
 
 
 def word_terms(word: bytes) -> list[int]:
@@ -108,16 +116,20 @@ def _sample(docs: DataFrame, labels: DataFrame, max_rows: int) -> DataFrame:
     def terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cache: dict = {}
         for batch in batches:
-            rows = _place_columns(batch.column(0).to_pylist(), None, cache)
-            yield pa.record_batch([pa.array([r.astype(np.int32) for r in rows], pa.list_(pa.int32())), batch.column(1)], names=["terms", "label"])
+            rows = _place_columns(batch.column(1).to_pylist(), None, cache)
+            found = pa.array([r.astype(np.int32) for r in rows], pa.list_(pa.int32()))
+            yield pa.record_batch([batch.column(0), found, batch.column(2)], names=["id", "terms", "label"])
 
     rows = docs.select("doc_id", utf8("text").alias("text")).join(F.broadcast(chosen), F.col("doc_id") == F.col("_id"))
-    rows = rows.select("text", (F.col("_toxic") > 0).cast("int").alias("label"))
-    return rows.mapInArrow(terms, "terms array<int>, label int")
+    rows = rows.select(F.col("_id").cast("string").alias("id"), "text", (F.col("_toxic") > 0).cast("int").alias("label"))
+    listed = rows.mapInArrow(terms, "id string, terms array<int>, label int")
+    # A task sends one row of an id, however often it is repeated.
+    first = F.min(F.struct(F.xxhash64("terms").alias("hash"), "terms", "label"))
+    return listed.groupBy("id").agg(first.alias("row")).select("row.terms", "row.label")
 
 
 def _choose(rows: list[np.ndarray], labels: np.ndarray, least_z: float, max_terms: int) -> np.ndarray:
-    """The terms whose share of rows differs between the classes, ascending."""
+    """The terms whose share of rows differs between the classes, alone or in pairs, ascending."""
     counts = [
         np.bincount(np.concatenate([r for r, y in zip(rows, labels) if y == c] or [np.zeros(0, np.int64)]), minlength=_MASK + 1)
         for c in (0, 1)
@@ -127,7 +139,36 @@ def _choose(rows: list[np.ndarray], labels: np.ndarray, least_z: float, max_term
     z = np.abs(odds[1] - odds[0]) / np.sqrt(1 / (counts[0] + 0.5) + 1 / (counts[1] + 0.5))
     z[counts[0] + counts[1] < LEAST_ROWS] = 0
     best = np.argsort(-z, kind="stable")[:max_terms]
-    return np.sort(best[z[best] >= least_z])
+    paired = _paired(rows, labels, counts[0] + counts[1])[:max_terms]
+    alone = best[z[best] >= least_z]
+    return np.union1d(paired, alone[~np.isin(alone, paired)][: max_terms - len(paired)])
+
+
+def _paired(rows: list[np.ndarray], labels: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """The terms of the pairs whose odds ratio differs between the classes, best pairs first."""
+    varied = np.minimum(counts, len(rows) - counts)
+    tried = np.argsort(-varied, kind="stable")[:SCREENED]
+    tried = tried[varied[tried] >= LEAST_ROWS]
+    place = np.full(_MASK + 1, -1, np.int64)
+    place[tried] = np.arange(len(tried))
+    ratio, variance = np.zeros((2, len(tried), len(tried)))
+    for c in (0, 1):
+        own = [place[rows[i]] for i in np.flatnonzero(labels == c)]
+        both = np.zeros((len(tried), len(tried)))
+        for at in range(0, len(own), _SCREEN_ROWS):
+            block = np.zeros((min(_SCREEN_ROWS, len(own) - at), len(tried)), np.float32)
+            for k, r in enumerate(own[at : at + _SCREEN_ROWS]):
+                block[k, r[r >= 0]] = 1
+            both += block.T @ block
+        alone = np.diag(both)
+        first, second = alone[:, None] - both, alone[None, :] - both
+        cells = [both + 0.5, len(own) - both - first - second + 0.5, first + 0.5, second + 0.5]
+        ratio += (2 * c - 1) * (np.log(cells[0] * cells[1]) - np.log(cells[2] * cells[3]))
+        variance += sum(1 / n for n in cells)
+    z = np.triu(np.abs(ratio) / np.sqrt(variance), 1).ravel()
+    best = np.argsort(-z, kind="stable")[:PAIRS]
+    places = np.stack(np.unravel_index(best[z[best] >= PAIR_Z], variance.shape), axis=1).ravel()
+    return tried[list(dict.fromkeys(places.tolist()))]
 
 
 def learn(rows: list[np.ndarray], labels: np.ndarray, least_z: float = LEAST_Z, max_terms: int = MAX_TERMS) -> Machine:

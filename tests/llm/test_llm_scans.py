@@ -134,6 +134,30 @@ def test_toxicity_learns_words_and_pairs():
     assert toxicity.learn([], np.array([])).scores([np.zeros(0, np.int64)])[0] == pytest.approx(0.5, abs=1e-3)
 
 
+def test_toxicity_learns_pairs_of_terms_that_say_nothing_alone():
+    rng = np.random.default_rng(2)
+    rows, labels = [], []
+    for _ in range(3000):  # exactly one of terms 1 and 2
+        has = rng.random(2) < 0.5
+        rows.append(np.array(sorted([k + 1 for k in range(2) if has[k]] + list(10 + rng.choice(2000, 30, replace=False)))))
+        labels.append(int(has[0] != has[1]))
+    labels = np.array(labels)
+    model = toxicity.learn(rows[:2400], labels[:2400])
+    assert {1, 2} <= set(model.terms.tolist()) and len(model.terms) < 20
+    scores = model.scores([np.searchsorted(model.terms, r[np.isin(r, model.terms)]) for r in rows[2400:]])
+    found = scores >= toxicity.THRESHOLD
+    assert found[labels[2400:] == 1].mean() > 0.95 and found[labels[2400:] == 0].mean() < 0.05
+    few = toxicity.learn(rows[:2400], labels[:2400], max_terms=1)
+    assert len(few.terms) == 1
+
+
+def test_toxicity_takes_one_row_of_a_document(spark, make_docs):
+    rows = [(7, "you idiot"), (7, "a kind note"), (7, "you idiot"), (8, "again"), (None, "lost")] * 20
+    labels = spark.createDataFrame([(7, 1), (7, 0), (8, 0), (None, 1)], "doc_id long, toxic int")
+    got = toxicity._sample(make_docs(rows), labels, 10).collect()
+    assert sorted(r.label for r in got) == [0, 1]
+
+
 def test_toxicity_of_odd_rows(spark, make_docs, odd_rows):
     rows = odd_rows + [(1000 + k, f"you idiot of number {k}" if k % 2 else f"a kind note of number {k}") for k in range(300)]
     docs = make_docs(rows)
