@@ -9,8 +9,11 @@ from pyspark.sql import Column, DataFrame, Row, functions as F, types as T
 
 from .. import fixed_values as fv, schemas
 from ..functions.text import has_text, text_or_null
-from ..sources.registry import Registry, entries
+from ..sources.registry import INDEXED, Registry, entries
+from . import registry_join
+from .skew import join_split
 
+CHAIN_ROWS = 200
 
 _WAYS = T.StructType(
     [
@@ -38,60 +41,85 @@ def _compiles(df: DataFrame, patterns: Sequence[str]) -> bool:
     return True
 
 
-def _valid_patterns(df: DataFrame, rows: Sequence[Row]) -> set[int]:
+def _valid_patterns(df: DataFrame, rows: Sequence[tuple[int, str | None]]) -> set[int]:
     """`idx` of the entries whose pattern compiles; the others match no URL."""
-    patterns = {r.idx: _java_pattern(r.base_url_pattern) for r in rows if r.base_url_pattern}
+    patterns = {idx: _java_pattern(pattern) for idx, pattern in rows if pattern}
     if not patterns or _compiles(df, list(patterns.values())):
         return set(patterns)
     return {idx for idx, pattern in patterns.items() if _compiles(df, [pattern])}
 
 
-def _match_code(rows: Sequence[Row], valid: set[int], url: Column, texts: Column) -> Column:
-    """First match of an offer: idx for its URL, -1 - idx for its texts, null for none.
-
-    The URL is tried against each pattern in registry order; only when none fits
-    are the matchers searched in URL, provider and name. Each pattern is a literal
-    in the plan, compiled once.
-    """
-    branches: list[tuple[Column, int]] = []
-    for r in rows:
-        if r.base_url_pattern is None:
-            branches.append((url.isNotNull(), r.idx))
-        elif r.idx in valid:
-            branches.append((url.rlike(_java_pattern(r.base_url_pattern)), r.idx))
-    for r in rows:
-        branches += [(texts.contains(m.lower()), -1 - r.idx) for m in r.match or ()]
+def _first(branches: Sequence[tuple[Column, int]]) -> Column:
+    """The value of the first condition that holds, null for none."""
     code = F.when(F.lit(False), F.lit(0))
     for condition, value in branches:
         code = code.when(condition, value)
     return code
 
 
-def with_capability(offers: DataFrame, registry: Registry) -> DataFrame:
+def _by_url(rows: Sequence[tuple[int, str | None]], valid: set[int], url: Column) -> list[tuple[Column, int]]:
+    """Each pattern is a literal in the plan, compiled once; none at all fits every URL."""
+    return [
+        (url.isNotNull() if pattern is None else url.rlike(_java_pattern(pattern)), idx)
+        for idx, pattern in rows
+        if pattern is None or idx in valid
+    ]
+
+
+def _code(by_url: Column, by_text: Column) -> Column:
+    """One code of both ways: idx for the URL, -1 - idx for the texts. Texts count only when no pattern fits."""
+    return F.coalesce(by_url, -1 - by_text)
+
+
+def _joined_matches(offers: DataFrame, registry: DataFrame) -> DataFrame:
+    url, texts = F.col("_url"), F.col("_texts")
+
+    def loose(patterns, matchers):
+        valid = _valid_patterns(offers, [p for p in patterns if p[1] is not None])
+        return _first(_by_url(patterns, valid, url)), _first([(texts.contains(m), idx) for idx, m in matchers])
+
+    return registry_join.with_matches(offers, registry, loose, _code)
+
+
+def with_capability(offers: DataFrame, registry: Registry, chain_rows: int = CHAIN_ROWS) -> DataFrame:
     """Add `provider_idx`, `by_url` and the matched entry as `cap`, null for none.
 
-    The match is a projection. Its entry comes from a table with two rows per
-    entry, one for each way to match; `entries` has checked its size, so it is
-    broadcast. The join also keeps later filters from being pushed into the chain
-    of patterns, which would evaluate it again.
+    Up to `chain_rows` entries the match is a projection: URLs are tried against each pattern in
+    registry order, then matchers are searched in URL, provider and name. Its entry comes from a table
+    with two rows per entry, one for each way to match, which is broadcast. The join also keeps later
+    filters from being pushed into the chain of patterns, which would evaluate it again. A larger registry
+    is matched by joins, with the same rows at any `chain_rows`; a stream of offers cannot be.
     """
-    rows = entries(registry)
+    columns = offers.columns
     texts = F.concat_ws(" ", *[F.coalesce(c, F.lit("")) for c in ("base_url", "provider", "name")])
-    code = _match_code(rows, _valid_patterns(offers, rows), F.col("_url"), F.col("_texts"))
+    prepared = offers.withColumns({"_url": text_or_null(F.col("base_url")), "_texts": F.lower(texts)})
+    rows = entries(registry, chain_rows)
+    if rows is None:
+        if offers.isStreaming:
+            raise ValueError(f"a stream is matched against {chain_rows} registry entries at most")
+        table = registry if isinstance(registry, DataFrame) else offers.sparkSession.createDataFrame(registry, INDEXED)
+        cap = F.struct(*[f.name for f in schemas.REGISTRY_ENTRY]).alias("cap")
+        ways = table.select(F.col("idx").alias("provider_idx"), cap)
+        matched = _joined_matches(prepared, table)
+        by_url = F.col("_match") >= 0
+        matched = matched.withColumns({"by_url": by_url, "provider_idx": F.when(by_url, F.col("_match")).otherwise(-1 - F.col("_match"))})
+        return join_split(matched, ways, "provider_idx", registry_join.spread(matched), "left").select(*columns, "provider_idx", "by_url", "cap")
+    patterns = [(r.idx, r.base_url_pattern) for r in rows]
+    by_url = _by_url(patterns, _valid_patterns(offers, patterns), F.col("_url"))
+    by_text = [(F.col("_texts").contains(m.lower()), -1 - r.idx) for r in rows for m in r.match or ()]
     ways = [(r.idx, r.idx, True, tuple(r)[1:]) for r in rows]
     ways += [(-1 - r.idx, r.idx, False, tuple(r)[1:]) for r in rows]
     table = offers.sparkSession.createDataFrame(ways, _WAYS)
     return (
-        offers.withColumns({"_url": text_or_null(F.col("base_url")), "_texts": F.lower(texts)})
-        .withColumn("_match", code)
+        prepared.withColumn("_match", _first(by_url + by_text))
         .join(F.broadcast(table), F.col("_match") == F.col("_way"), "left")
         .drop("_url", "_texts", "_match", "_way")
     )
 
 
-def provider_match(offers: DataFrame, registry: Registry) -> DataFrame:
+def provider_match(offers: DataFrame, registry: Registry, chain_rows: int = CHAIN_ROWS) -> DataFrame:
     """Add `provider_idx` and `by_url`: the first registry entry that matches."""
-    return with_capability(offers, registry).drop("cap")
+    return with_capability(offers, registry, chain_rows).drop("cap")
 
 
 def client_urls(with_cap: DataFrame) -> DataFrame:

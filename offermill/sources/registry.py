@@ -1,4 +1,4 @@
-"""Provider registry: a small ordered table of official endpoints."""
+"""Provider registry: an ordered table of official endpoints."""
 
 from __future__ import annotations
 
@@ -30,14 +30,8 @@ def default_entries() -> list[Row]:
     ]
 
 
-def entries(registry: Registry, limit: int = 5000) -> list[Row]:
-    """The registry on the driver, in match order, to build match expressions from.
-
-    A registry is configuration written by hand. A table beyond `limit` is not
-    one, and is refused rather than cut.
-    """
+def entries(registry: Registry, limit: int) -> list[Row] | None:
+    """The registry on the driver, in match order, to build match expressions from; None beyond `limit` entries."""
     if isinstance(registry, DataFrame):
         registry = registry.select(*INDEXED.names).orderBy("idx").limit(limit + 1).collect()
-    if len(registry) > limit:
-        raise ValueError(f"a provider registry of more than {limit} rows is not configuration")
-    return list(registry)
+    return list(registry) if len(registry) <= limit else None

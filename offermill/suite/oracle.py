@@ -644,4 +644,15 @@ SQL: dict[str, str] = {
           row_number() OVER (PARTITION BY run_id ORDER BY {RANK_ORDER}) AS n FROM offers WHERE {ADMITTED})
         SELECT run_id, count(*) AS total, max(offer_id) FILTER (WHERE n = 1) AS offer_id FROM admitted GROUP BY run_id""",
 }
+SQL["registry_join"] = r"""WITH c AS (SELECT c_custkey AS idx, c_custkey % 40 AS desk, CASE WHEN c_custkey % 3 = 0 THEN '^https://none$'
+          WHEN c_custkey = 5 THEN '/v1[0-4]$' ELSE '^https://c' || c_custkey || '\.example/' END AS pattern FROM customer),
+        desks AS (SELECT desk, min(idx) AS idx FROM c GROUP BY desk),
+        met AS (SELECT o_orderkey, CASE WHEN o_orderkey % 7 > 0 THEN least(own.idx,
+              CASE WHEN o_orderkey % 50 BETWEEN 10 AND 14 THEN (SELECT min(idx) FROM c WHERE idx = 5) END) END AS by_host,
+            least(named.idx, desks.idx) AS by_text
+          FROM orders LEFT JOIN c own ON own.idx = o_custkey AND own.idx % 3 > 0 AND own.idx <> 5
+          LEFT JOIN c named ON named.idx = o_custkey LEFT JOIN desks ON desks.desk = o_orderkey % 90)
+        SELECT o_orderkey, coalesce(by_host, by_text) AS provider_idx,
+          CASE WHEN by_host IS NOT NULL THEN TRUE WHEN by_text IS NOT NULL THEN FALSE END AS by_url, pattern
+        FROM met LEFT JOIN c ON c.idx = coalesce(by_host, by_text)"""
 SQL["written_fix_log"] = SQL["fix_log"]

@@ -117,6 +117,31 @@ def report_scan(spark, sf_dir):
     )
 
 
+@query
+def registry_join(spark, sf_dir):
+    """One registry entry for each customer; every order meets the first that fits, by joins."""
+    customers = fx.table(spark, sf_dir, "customer").withColumn("idx", F.col("c_custkey").cast("int"))
+    host = F.concat(F.lit("^https://c"), F.col("idx").cast("string"), F.lit(r"\.example/"))
+    known = {
+        "base_url_pattern": F.when(F.col("idx") % 3 == 0, F.lit("^https://none$"))
+        .when(F.col("idx") == 5, F.lit("/v1[0-4]$")).otherwise(host),
+        "match": F.array(F.lower("c_name"), F.concat(F.lit("desk "), (F.col("idx") % 40).cast("string"), F.lit("."))),
+    }
+    fields = [known.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in schemas.REGISTRY_ENTRY]
+    orders = fx.table(spark, sf_dir, "orders")
+    number, path = F.col("o_custkey").cast("string"), (F.col("o_orderkey") % 50).cast("string")
+    url = F.concat(F.lit("https://c"), number, F.lit(".example/v"), path)
+    offers = orders.select(
+        "o_orderkey", F.when(F.col("o_orderkey") % 7 > 0, url).alias("base_url"),
+        F.concat(F.lit("Customer#"), F.lpad(number, 9, "0")).alias("provider"),
+        F.concat(F.lit("Desk "), (F.col("o_orderkey") % 90).cast("string"), F.lit(".")).alias("name"),
+    )
+    matched = matching.with_capability(offers, customers.select("idx", *fields), chain_rows=0)
+    return matched.select(
+        "o_orderkey", F.col("provider_idx").cast("long").alias("provider_idx"), "by_url", F.col("cap.base_url_pattern").alias("pattern")
+    )
+
+
 @query
 def registry_scan(spark, sf_dir):
     """Nations as a registry document; customers matched by their nation's endpoint."""

@@ -6,7 +6,7 @@ from pyspark.sql import Row
 
 from offermill.operators import gates, ranking, rollups, skew
 from offermill.operators.matching import provider_match
-from offermill.sources.registry import default_entries
+from offermill.sources.registry import INDEXED, default_entries
 from offermill.sources.reports import read_reports
 
 from reports import offer, report, write
@@ -205,3 +205,32 @@ def test_top_and_admission(spark, tmp_path):
     assert ranking.top_offer(reports.offers).first()["name"] == "first"
     ranked = ranking.ranked_offers(reports.offers).orderBy("position").select("name").collect()
     assert [r[0] for r in ranked] == ["first", "second"]
+
+
+def test_registry_of_any_size_matches_as_the_small_one(spark):
+    fields = default_entries()[0].__fields__
+    blank = dict.fromkeys(fields)
+
+    def entry(idx, pattern, *match):
+        return Row(**{**blank, "idx": idx, "key": f"k{idx}", "base_url_pattern": pattern, "match": list(match)})
+
+    registry = [*default_entries()]
+    at = len(registry)
+    registry += [
+        entry(at, r"^https://a\.example/v1/?$", "Alpha"), entry(at + 1, r"^https?://a\.example/", "alp"),
+        entry(at + 2, "(", "ß"), entry(at + 3, r"^https://b\.example$", "mid"), entry(at + 4, "", "zz"),
+        entry(at + 5, r"example\.(net|org)", "alpha"), entry(at + 6, r"^https://d\.example", "d.example"), entry(at + 7, None, "last"),
+    ]
+    texts = [
+        ("https://a.example/v1", "x", "y"), ("https://a.example/v1/\n", "x", "y"), ("http://a.example/v2", None, None),
+        ("https://b.example", None, None), ("https://b.example.evil", None, "a middle one"), ("https://b.example\n", None, "z"),
+        ("https://x.example.org", "q", "q"), (None, "ALPHABET", None), ("", "pizzz", None), (None, None, None),
+        (None, "Straße", "ß"), ("https://d.example.com", "u", "u"), ("https://A.example/v1", "", ""), (None, "atlas", "the last"),
+        *[(r.base_url, r.label, r.key) for r in default_entries()],
+    ] * 3
+    offers = spark.createDataFrame([(k, *t) for k, t in enumerate(texts)], "n int, base_url string, provider string, name string")
+    small = provider_match(offers, registry, chain_rows=1000)
+    for given in (registry, spark.createDataFrame(registry, INDEXED)):
+        joined = provider_match(offers, given, chain_rows=0)
+        assert joined.columns == small.columns
+        assert sorted(map(tuple, joined.collect())) == sorted(map(tuple, small.collect()))
