@@ -1,26 +1,28 @@
 """Cross-entropy difference of two n-gram models over one vocabulary.
 
 A target model learns from the target documents, a background model from all documents. Both count
-the same words and word pairs: the shared vocabulary gives every word one of 2^word_bits places and
-every pair one of 2^pair_bits, by hash, so all words of all documents count at any corpus size, and
-the models stay of one size. Both smooth alike: a word's probability is a fixed mix of its share
-after the word before it, its share of all words, and an even share. Shares do not depend on the size
-of a corpus, so the models match although the background is larger. The score of a document is its
-mean loss per word under the target model less that under the background model: the lower, the more it is
-like the target.
-
-Counts are made per task and summed by a shuffle, so what is gathered grows with the input. The finished
-tables, of fixed size, are sent to the executors once.
+the same words and word pairs: every distinct word and pair of the corpus has a counter of its own, named by
+64 bits of hash, so what is counted grows with the input and no two share one at any size. Both smooth
+alike: a word's probability is a fixed mix of its share after the word before it, its share of all words, and an
+even share (one of EVEN). Shares do not depend on the size of a corpus, so the models match although the
+background is larger. The score of a document is its mean loss per word under the target model less that under
+the background model: the lower, the more it is like the target.
+
+How it runs. Documents are dealt into blocks of some `block_bytes` of text. A block counts its distinct words and
+pairs, sorted, and sends them to parts of the key space, cut so that each holds the counters of some `part_bytes`
+of text. A part sums over all blocks and answers every block in the order in which it asked, with counts only. The block
+then scores its documents. So a counter meets one row of each block, never one of each occurrence, and
+no table is sent to all executors or to the driver.
 
 Defined results: null, empty and wordless texts have n_words 0 and score 0; repeated rows count as often
-as they occur; a null doc_id counts for the background and is scored; target ids without a document
+as they occur, in any blocks; a null doc_id counts for the background and is scored; target ids without a document
 teach nothing; without any target word the target model is even, and every score says so; empty input
-gives no rows; extra columns are ignored.
+gives no rows; extra columns are ignored. One text and one block fit a task. `docs` should be a written table:
+its rows are dealt by their place in the scan.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -31,140 +33,167 @@ from pyspark.sql import DataFrame, functions as F, types as T
 from .common import utf8
 from .decontam import words_of
 
-WORD_BITS = 18
-PAIR_BITS = 21
 MIX = (0.6, 0.35, 0.05)  # after the word before, of all words, even
+EVEN = 1 << 18
+BLOCK_BYTES = 12 << 20
+PART_BYTES = 12 << 20
+#: Target ids up to this number are sent to all tasks (8 bytes each); more are dealt like the documents.
+MARKS = 1_000_000
 _CACHE = 300_000
-_PART_WORDS = 500_000
+_BEGIN = np.uint64(1)  # stands before the first word
 _ODD = np.uint64(0x9E3779B97F4A7C15)
+_OTHER = np.uint64(0xC2B2AE3D27D4EB4F)
 
 
-@dataclass
-class Shape:
-    word_bits: int = WORD_BITS
-    pair_bits: int = PAIR_BITS
-
-    def words(self, text: bytes, cache: dict) -> np.ndarray:
-        """Places of the words; place 0 stands for the begin of a text."""
-        most = (1 << self.word_bits) - 1
-        words = words_of(text)
-        out = np.empty(len(words) + 1, np.int64)
-        out[0] = 0
-        for k, word in enumerate(words, 1):
-            place = cache.get(word)
-            if place is None:
-                if len(cache) >= _CACHE:
-                    cache.clear()
-                place = cache[word] = 1 + xxhash.xxh64_intdigest(word) % most
-            out[k] = place
-        return out
+class _Hashes(dict):
+    """64-bit hashes of words, kept while they are few."""
+
+    def __missing__(self, word: bytes) -> int:
+        value = self[word] = xxhash.xxh64_intdigest(word)
+        return value
+
 
-    def pairs(self, words: np.ndarray) -> np.ndarray:
-        """Places of each word with the one before it."""
-        both = (words[:-1].astype(np.uint64) << np.uint64(self.word_bits)) | words[1:].astype(np.uint64)
-        return ((both + np.uint64(1)) * _ODD >> np.uint64(64 - self.pair_bits)).astype(np.int64)
-
-    @property
-    def size(self) -> int:
-        """Number of counters of a model: words, begins of pairs, pairs."""
-        return (2 << self.word_bits) + (1 << self.pair_bits)
-
-
-def counters(shape: Shape, words: np.ndarray) -> np.ndarray:
-    """The counters that a text raises by one, each as often as it does."""
-    n = 1 << shape.word_bits
-    return np.concatenate([words[1:], n + words[:-1], 2 * n + shape.pairs(words)])
-
-
-def count(docs: DataFrame, targets: DataFrame, shape: Shape = Shape()) -> DataFrame:
-    """(counter, target, background): whole-corpus counts; documents whose doc_id is in `targets` count for both models."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cache: dict = {}
-        totals = np.zeros((2, shape.size), np.int32)
-        for batch in batches:
-            for text, target in zip(batch.column(0), batch.column(1).to_pylist()):
-                found = counters(shape, shape.words(text.as_py(), cache))
-                np.add.at(totals[1], found, 1)
-                if target:
-                    np.add.at(totals[0], found, 1)
-        used = np.flatnonzero(totals[1])
-        for at in range(0, len(used), 100_000):
-            part = used[at : at + 100_000]
-            yield pa.record_batch(
-                [pa.array(part, pa.int64()), pa.array(totals[0][part], pa.int64()), pa.array(totals[1][part], pa.int64())],
-                names=["counter", "target", "background"],
-            )
-
-    marks = targets.select(F.col("doc_id").alias("_target")).distinct()
-    # Marks grow with the corpus: they are dealt like the documents at every size, and hashed, so no text is sorted.
-    rows = docs.select("doc_id", utf8("text").alias("text")).join(marks.hint("shuffle_hash"), F.col("doc_id") == F.col("_target"), "left")
-    rows = rows.select("text", F.col("_target").isNotNull().alias("is_target"))
-    counted = rows.mapInArrow(run, "counter long, target long, background long")
-    return counted.groupBy("counter").agg(F.sum("target").alias("target"), F.sum("background").alias("background"))
+def _mixed(first: np.ndarray, second: np.ndarray) -> np.ndarray:
+    """One 64-bit key of two; 0 is left free for the number of all words."""
+    x = (first + _ODD) * _OTHER
+    x ^= x >> np.uint64(29)
+    x = (x + second) * _ODD
+    x ^= x >> np.uint64(32)
+    return np.maximum(x * _OTHER, np.uint64(1))
 
 
 @dataclass
-class Models:
-    """Log probabilities are worked out from counts[model, counter] when a text is scored."""
-
-    shape: Shape
-    counts: np.ndarray
-
-    def losses(self, words: np.ndarray) -> np.ndarray:
-        """Loss of each word under the target model and under the background model, in nats."""
-        n = 1 << self.shape.word_bits
-        pairs = self.shape.pairs(words)
-        out = np.empty((2, len(words) - 1))
-        for model, counts in enumerate(self.counts):
-            total = max(1.0, float(self.totals[model]))
-            before = np.maximum(counts[n + words[:-1]], 1)
-            after = np.minimum(counts[2 * n + pairs] / before, 1.0)
-            out[model] = -np.log(MIX[0] * after + MIX[1] * counts[words[1:]] / total + MIX[2] / n)
+class Block:
+    """Words and pairs of some texts. `keys` are sorted; `place[i]` is where counter i stands in them.
+
+    Counters are, in this order, all words, each word, each word as the one before, each pair.
+    """
+
+    doc: np.ndarray  # the text of every word
+    before: np.ndarray
+    word: np.ndarray
+    pair: np.ndarray
+    words: int
+    keys: np.ndarray
+    place: np.ndarray
+
+    @classmethod
+    def of(cls, texts: list[bytes], known: _Hashes) -> Block:
+        hashed, lengths = [], np.zeros(len(texts), np.int64)
+        for k, text in enumerate(texts):
+            words = words_of(text)
+            if len(known) > _CACHE:
+                known.clear()
+            lengths[k] = len(words)
+            found = np.empty(len(words) + 1, np.uint64)
+            found[0] = _BEGIN
+            found[1:] = np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
+            hashed.append(found)
+        begins = np.cumsum(lengths + 1) - lengths - 1
+        distinct, at = np.unique(np.concatenate(hashed), return_inverse=True)
+        word = np.delete(at, begins)
+        before = np.delete(at, begins + lengths)
+        pairs, pair = np.unique(_mixed(distinct[before], distinct[word]), return_inverse=True)
+        none = np.zeros(1, np.uint64)
+        keys = np.concatenate([none, _mixed(distinct, none), _mixed(none, distinct), pairs])
+        order = np.argsort(keys, kind="stable")
+        place = np.empty(len(keys), np.int64)
+        place[order] = np.arange(len(keys))
+        return cls(np.repeat(np.arange(len(texts)), lengths), before, word, pair, len(distinct), keys[order], place)
+
+    def counts(self, weight: np.ndarray) -> np.ndarray:
+        """How often each key occurs, every occurrence with the weight of its text."""
+        each = weight[self.doc]
+        n = self.words
+        found = [[each.sum()], *(np.bincount(at, each, size) for at, size in (
+            (self.word, n), (self.before, n), (self.pair, len(self.keys) - 2 * n - 1)))]
+        out = np.empty(len(self.keys))
+        out[self.place] = np.concatenate(found)
         return out
 
-    def __post_init__(self) -> None:
-        self.totals = self.counts[:, : 1 << self.shape.word_bits].sum(axis=1, dtype=np.float64)
-
-
-def train(docs: DataFrame, targets: DataFrame, shape: Shape = Shape()) -> Models:
-    """Both models. Their size is fixed by `shape`, whatever the corpus."""
-    narrow = [F.col("counter").cast("int"), F.col("target").cast("float"), F.col("background").cast("float")]
-    table = count(docs, targets, shape).select(*narrow).toArrow()
-    counts = np.zeros((2, shape.size), np.float32)
-    for batch in table.to_batches():
-        at, counts_t, counts_b = (batch.column(k).to_numpy() for k in range(3))
-        counts[0, at], counts[1, at] = counts_t, counts_b
-    return Models(shape, counts)
-
-
-def score(docs: DataFrame, targets: DataFrame, shape: Shape = Shape()) -> DataFrame:
-    """doc_id, n_words, target_loss, background_loss (means per word), score (their difference)."""
-    spark = docs.sparkSession
-    sent = spark.sparkContext.broadcast(train(docs, targets, shape))
-    kind = T.StructType([T.StructField(n, t) for n, t in (
-        ("n_words", T.LongType()), ("target_loss", T.DoubleType()), ("background_loss", T.DoubleType()),
-    )])
-
-    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        models, cache = sent.value, {}
-        for texts in batches:
-            words = [shape.words(t.as_py(), cache) for t in texts]
-            means = [_means(models, w) for w in words]
-            columns = [pa.array([len(w) - 1 for w in words], pa.int64()), *(pa.array([m[k] for m in means], pa.float64()) for k in (0, 1))]
-            yield pa.StructArray.from_arrays(columns, names=["n_words", "target_loss", "background_loss"])
-
-    run.__annotations__ = {"batches": Iterator[pa.Array], "return": Iterator[pa.Array]}
-    scored = docs.select("doc_id", F.arrow_udf(run, kind)(utf8("text")).alias("f"))
-    loss = F.col("f.target_loss") - F.col("f.background_loss")
-    return scored.select("doc_id", "f.n_words", "f.target_loss", "f.background_loss", loss.alias("score"))
-
-
-def _means(models: Models, words: np.ndarray) -> tuple[float, float]:
-    n = len(words) - 1
-    if not n:
-        return 0.0, 0.0
-    sums = np.zeros(2)
-    for at in range(0, n, _PART_WORDS):  # stretches overlap by the word before
-        sums += models.losses(words[at : at + _PART_WORDS + 1]).sum(axis=1)
-    return float(sums[0] / n), float(sums[1] / n)
+    def losses(self, counts: np.ndarray) -> np.ndarray:
+        """Loss of each word, in nats, under a model with these counts for `keys`."""
+        found, n = counts[self.place].astype(np.float64), self.words
+        words, befores, pairs = found[1 : n + 1], found[n + 1 : 2 * n + 1], found[2 * n + 1 :]
+        after = pairs[self.pair] / np.maximum(befores[self.before], 1.0)
+        return -np.log(MIX[0] * after + MIX[1] * words[self.word] / max(found[0], 1.0) + MIX[2] / EVEN)
+
+
+def _texts(table: pa.Table) -> list[bytes]:
+    return table.column("text").to_pylist()
+
+
+def _dealt(docs: DataFrame, targets: DataFrame, blocks: int) -> DataFrame:
+    """(block, doc_id, text, is_target). Repeated rows fall into any blocks: the place of a row is part of the deal."""
+    marks = targets.select(F.col("doc_id").alias("_target")).filter("_target IS NOT NULL").distinct()
+    marks = F.broadcast(marks) if marks.count() <= MARKS else marks.hint("shuffle_hash")
+    # Dealt before the join: a scan gives rows the same places each time, a shuffle does not.
+    block = F.pmod(F.xxhash64("doc_id", F.monotonically_increasing_id()), F.lit(blocks)).alias("block")
+    rows = docs.select(block, "doc_id", utf8("text").alias("text")).join(marks, F.col("doc_id") == F.col("_target"), "left")
+    return rows.select("block", "doc_id", "text", F.col("_target").isNotNull().alias("is_target"))
+
+
+def _asked(dealt: DataFrame, parts: int) -> DataFrame:
+    """(part, block, keys, target, background): what each block counts, one row for each part it has keys of."""
+
+    def run(table: pa.Table) -> pa.Table:
+        block = Block.of(_texts(table), _Hashes())
+        is_target = np.array(table.column("is_target").to_pylist(), np.float64)
+        target, background = (block.counts(w).astype(np.uint32) for w in (is_target, np.ones(len(is_target))))
+        part = (block.keys >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)
+        used, first = np.unique(part, return_index=True)
+        ends = np.append(first[1:], len(part))
+        columns = [[a[i:j].tobytes() for i, j in zip(first, ends)] for a in (block.keys, target, background)]
+        number = table.column("block")[0].as_py()
+        return pa.table(
+            [pa.array(used.astype(np.int64)), pa.array([number] * len(used), pa.int64()), *(pa.array(c, pa.binary()) for c in columns)],
+            names=["part", "block", "keys", "target", "background"],
+        )
+
+    return dealt.groupBy("block").applyInArrow(run, "part long, block long, keys binary, target binary, background binary")
+
+
+def _answered(asked: DataFrame) -> DataFrame:
+    """(block, part, target, background): counts over all blocks, in the order of the keys asked for."""
+
+    def run(table: pa.Table) -> pa.Table:
+        def joined(name: str, kind: type) -> np.ndarray:
+            return np.frombuffer(b"".join(table.column(name).to_pylist()), kind)
+
+        keys, at = np.unique(joined("keys", np.uint64), return_inverse=True)
+        sizes = [len(k) // 8 for k in table.column("keys").to_pylist()]
+        ends = np.cumsum(sizes)
+        columns = []
+        for name in ("target", "background"):
+            sums = np.bincount(at, joined(name, np.uint32), len(keys)).astype(np.int64)[at]
+            columns.append(pa.array([sums[e - n : e].tobytes() for n, e in zip(sizes, ends)], pa.binary()))
+        return pa.table([table.column("block"), table.column("part"), *columns], names=["block", "part", "target", "background"])
+
+    return asked.groupBy("part").applyInArrow(run, "block long, part long, target binary, background binary")
+
+
+def score(docs: DataFrame, targets: DataFrame, block_bytes: int = BLOCK_BYTES, part_bytes: int = PART_BYTES) -> DataFrame:
+    """doc_id, n_words, target_loss, background_loss (means per word), score (their difference).
+
+    The sizes set how the work is cut, not the result.
+    """
+    size = docs.agg(F.coalesce(F.sum(F.octet_length("text").cast("long")), F.lit(0))).first()[0]
+    dealt = _dealt(docs, targets, 1 + size // block_bytes)
+    answered = _answered(_asked(dealt, 1 + size // part_bytes))
+    kind = T.StructType([
+        T.StructField("doc_id", docs.schema["doc_id"].dataType), T.StructField("n_words", T.LongType()),
+        T.StructField("target_loss", T.DoubleType()), T.StructField("background_loss", T.DoubleType()),
+    ])
+
+    def run(table: pa.Table, answers: pa.Table) -> pa.Table:
+        block = Block.of(_texts(table), _Hashes())
+        answers = answers.sort_by("part")
+        n = np.bincount(block.doc, minlength=len(table))
+        means = []
+        for name in ("target", "background"):
+            counts = np.frombuffer(b"".join(answers.column(name).to_pylist()), np.int64)
+            means.append(np.bincount(block.doc, block.losses(counts), len(table)) / np.maximum(n, 1))
+        return pa.table([table.column("doc_id"), pa.array(n), *map(pa.array, means)], names=kind.names)
+
+    scored = dealt.groupBy("block").cogroup(answered.groupBy("block")).applyInArrow(run, kind)
+    return scored.withColumn("score", F.col("target_loss") - F.col("background_loss"))

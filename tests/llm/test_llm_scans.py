@@ -9,7 +9,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from offermill.llm import decontam, licenses, lm, pii, toxicity
+from offermill.llm import decontam, licenses, lm, pii, queries, toxicity
 
 PASSAGE = "the quick brown fox jumps over one lazy dog and then sleeps for very long"
 
@@ -171,30 +171,58 @@ def test_toxicity_of_odd_rows(spark, make_docs, odd_rows):
     assert all(r.score == pytest.approx(0.5, abs=1e-3) for r in toxicity.scores(docs, labels.limit(0)).collect())
 
 
-def test_language_models(spark, make_docs, odd_rows):
-    shape = lm.Shape(word_bits=10, pair_bits=12)
-    docs, targets = make_docs(odd_rows), spark.createDataFrame([(4,), (4,), (9,), (12345,)], "doc_id long")
-    counts = [Counter(), Counter()]
-    for d, t in odd_rows:
-        for c in lm.counters(shape, shape.words((t or "").encode(), {})).tolist():
-            counts[1][c] += 1
-            counts[0][c] += d in (4, 9)
-    table = {r.counter: (r.target, r.background) for r in lm.count(docs, targets, shape).collect()}
-    assert table == {c: (counts[0][c], n) for c, n in counts[1].items()}
-    n = 1 << 10
-    totals = [sum(v for c, v in m.items() if c < n) for m in counts]
-    want = []
-    for d, t in odd_rows:
-        words = shape.words((t or "").encode(), {})
-        loss = [0.0, 0.0]
-        for before, word, pair in zip(words, words[1:], shape.pairs(words)):
-            for k, m in enumerate(counts):
-                after = min(1, m[2 * n + pair] / max(1, m[n + before]))
-                loss[k] -= math.log(0.6 * after + 0.35 * m[word] / max(1, totals[k]) + 0.05 / n) / (len(words) - 1)
-        want.append((str(d), len(words) - 1, round(loss[0], 4), round(loss[1], 4), round(loss[0] - loss[1], 4)))
-    got = lm.score(docs, targets, shape).collect()
-    assert sorted((str(r[0]), r[1], *(round(v, 4) for v in r[2:])) for r in got) == sorted(want)
-    assert lm.score(make_docs([]), targets, shape).count() == 0
+def _language_scores(rows, targets):
+    """Plain version: exact words and pairs of whole texts."""
+    pairs, words, befores = ([Counter(), Counter()] for _ in range(3))
+    for d, t in rows:
+        found = _words(t)
+        for model in (0, 1) if d is not None and d in targets else (1,):
+            words[model].update(found)
+            befores[model].update([None, *found][: len(found)])
+            pairs[model].update(zip([None, *found], found))
+    totals = [max(1, sum(w.values())) for w in words]
+    out = []
+    for d, t in rows:
+        found, loss = _words(t), [0.0, 0.0]
+        for before, word in zip([None, *found], found):
+            for k in (0, 1):
+                after = pairs[k][before, word] / max(1, befores[k][before])
+                loss[k] -= math.log(0.6 * after + 0.35 * words[k][word] / totals[k] + 0.05 / 2**18) / len(found)
+        out.append((str(d), len(found), loss[0], loss[1], loss[0] - loss[1]))
+    return sorted(out)
+
+
+def _same_scores(got, want):
+    got = sorted((str(r.doc_id), r.n_words, r.target_loss, r.background_loss, r.score) for r in got)
+    assert [g[:2] for g in got] == [w[:2] for w in want]
+    assert np.allclose([g[2:] for g in got], [w[2:] for w in want], rtol=0, atol=1e-9)
+
+
+@pytest.mark.parametrize("sizes", [{}, {"block_bytes": 100, "part_bytes": 5000}, {"part_bytes": 3}])
+def test_language_models(spark, make_docs, odd_rows, sizes):
+    docs = make_docs(odd_rows)
+    # Repeated, absent and null ids teach once or nothing.
+    targets = spark.createDataFrame([(4,), (4,), (9,), (12345,), (None,)], "doc_id long")
+    _same_scores(lm.score(docs, targets, **sizes).collect(), _language_scores(odd_rows, {4, 9}))
+
+
+def test_language_models_without_rows(spark, make_docs, odd_rows):
+    targets = spark.createDataFrame([], "doc_id long")
+    assert lm.score(make_docs([]), targets).count() == 0
+    _same_scores(lm.score(make_docs(odd_rows), targets).collect(), _language_scores(odd_rows, set()))
+
+
+def test_language_models_of_dealt_marks(spark, make_docs, odd_rows, monkeypatch):
+    monkeypatch.setattr(lm, "MARKS", 0)
+    targets = spark.createDataFrame([(4,), (9,)], "doc_id long")
+    _same_scores(lm.score(make_docs(odd_rows), targets).collect(), _language_scores(odd_rows, {4, 9}))
+
+
+def test_registered_scores_against_plain_version(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text").collect()
+    labels = spark.read.parquet("/root/testdata/sf0.001/labels.parquet").filter("quality = 1").collect()
+    want = _language_scores([tuple(r) for r in docs], {r.doc_id for r in labels})
+    _same_scores(queries.op10_lm_score(spark, "/root/testdata/sf0.001").collect(), want)
 
 
 def test_digest_of_listed_spans(spark):
