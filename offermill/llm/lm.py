@@ -28,6 +28,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from .common import utf8
@@ -119,6 +120,16 @@ class Block:
         return -np.log(MIX[0] * after + MIX[1] * words[self.word] / max(found[0], 1.0) + MIX[2] / EVEN)
 
 
+def _packed(numbers: np.ndarray) -> bytes:
+    """Numbers with few high bytes, byte by byte of all of them, compressed."""
+    return zstandard.compress(numbers.view(np.uint8).reshape(-1, numbers.itemsize).T.tobytes(), 1)
+
+
+def _unpacked(packed: list[bytes]) -> list[np.ndarray]:
+    rows = [np.frombuffer(zstandard.decompress(p), np.uint8).reshape(8, -1) for p in packed]
+    return [np.ascontiguousarray(r.T).view(np.uint64).ravel() for r in rows]
+
+
 def _texts(table: pa.Table) -> list[bytes]:
     return table.column("text").to_pylist()
 
@@ -134,16 +145,20 @@ def _dealt(docs: DataFrame, targets: DataFrame, blocks: int) -> DataFrame:
 
 
 def _asked(dealt: DataFrame, parts: int) -> DataFrame:
-    """(part, block, keys, target, background): what each block counts, one row for each part it has keys of."""
+    """(part, block, keys, target, background): what each block counts, one row for each part it has keys of.
+
+    Keys are sent as the steps from one to the next.
+    """
 
     def run(table: pa.Table) -> pa.Table:
         block = Block.of(_texts(table), _Hashes())
         is_target = np.array(table.column("is_target").to_pylist(), np.float64)
-        target, background = (block.counts(w).astype(np.uint32) for w in (is_target, np.ones(len(is_target))))
+        target, background = (block.counts(w).astype(np.uint64) for w in (is_target, np.ones(len(is_target))))
         part = (block.keys >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)
         used, first = np.unique(part, return_index=True)
         ends = np.append(first[1:], len(part))
-        columns = [[a[i:j].tobytes() for i, j in zip(first, ends)] for a in (block.keys, target, background)]
+        keys = [_packed(np.diff(block.keys[i:j], prepend=np.uint64(0))) for i, j in zip(first, ends)]
+        columns = [keys, *([_packed(a[i:j]) for i, j in zip(first, ends)] for a in (target, background))]
         number = table.column("block")[0].as_py()
         return pa.table(
             [pa.array(used.astype(np.int64)), pa.array([number] * len(used), pa.int64()), *(pa.array(c, pa.binary()) for c in columns)],
@@ -157,16 +172,14 @@ def _answered(asked: DataFrame) -> DataFrame:
     """(block, part, target, background): counts over all blocks, in the order of the keys asked for."""
 
     def run(table: pa.Table) -> pa.Table:
-        def joined(name: str, kind: type) -> np.ndarray:
-            return np.frombuffer(b"".join(table.column(name).to_pylist()), kind)
-
-        keys, at = np.unique(joined("keys", np.uint64), return_inverse=True)
-        sizes = [len(k) // 8 for k in table.column("keys").to_pylist()]
-        ends = np.cumsum(sizes)
+        asked = [np.cumsum(steps, dtype=np.uint64) for steps in _unpacked(table.column("keys").to_pylist())]
+        ends = np.cumsum([len(a) for a in asked])
+        keys, at = np.unique(np.concatenate(asked), return_inverse=True)
         columns = []
         for name in ("target", "background"):
-            sums = np.bincount(at, joined(name, np.uint32), len(keys)).astype(np.int64)[at]
-            columns.append(pa.array([sums[e - n : e].tobytes() for n, e in zip(sizes, ends)], pa.binary()))
+            given = np.concatenate(_unpacked(table.column(name).to_pylist()))
+            sums = np.bincount(at, given, len(keys)).astype(np.uint64)[at]
+            columns.append(pa.array([_packed(sums[e - len(a) : e]) for a, e in zip(asked, ends)], pa.binary()))
         return pa.table([table.column("block"), table.column("part"), *columns], names=["block", "part", "target", "background"])
 
     return asked.groupBy("part").applyInArrow(run, "block long, part long, target binary, background binary")
@@ -191,7 +204,7 @@ def score(docs: DataFrame, targets: DataFrame, block_bytes: int = BLOCK_BYTES, p
         n = np.bincount(block.doc, minlength=len(table))
         means = []
         for name in ("target", "background"):
-            counts = np.frombuffer(b"".join(answers.column(name).to_pylist()), np.int64)
+            counts = np.concatenate(_unpacked(answers.column(name).to_pylist()))
             means.append(np.bincount(block.doc, block.losses(counts), len(table)) / np.maximum(n, 1))
         return pa.table([table.column("doc_id"), pa.array(n), *map(pa.array, means)], names=kind.names)
 
