@@ -109,7 +109,8 @@ def part_of(place: Column) -> Column:
     return F.shiftright(place, POS_BITS)
 
 
-def offers_of(docs: DataFrame) -> DataFrame:
+def raw_offers_of(docs: DataFrame) -> DataFrame:
+    """Entries of all offer sections with their place and JSON text `raw`, entries that are no objects included."""
     # One explode over a tagged array keeps it to a single pass over the text.
     def tagged(index: int, section: str) -> Column:
         return F.transform(
@@ -122,17 +123,19 @@ def offers_of(docs: DataFrame) -> DataFrame:
     sections = [tagged(i, name) for i, name in enumerate(fv.OFFER_SECTIONS)]
     rows = docs.select("run_id", "part", F.explode(F.concat(*sections)).alias("o"))
     place = place_of(F.col("part"), F.col("o.pos"))
-    return parse_offers(
-        rows.select(
-            "run_id",
-            F.col("o.section").alias("section"),
-            place.alias("pos"),
-            F.shiftleft(F.col("o.index").cast("long"), PART_BITS + POS_BITS).bitwiseOR(place).alias("offer_id"),
-            F.col("o.raw").alias("raw"),
-        )
+    return rows.select(
+        "run_id",
+        F.col("o.section").alias("section"),
+        place.alias("pos"),
+        F.shiftleft(F.col("o.index").cast("long"), PART_BITS + POS_BITS).bitwiseOR(place).alias("offer_id"),
+        F.col("o.raw").alias("raw"),
     )
 
 
+def offers_of(docs: DataFrame) -> DataFrame:
+    return parse_offers(raw_offers_of(docs))
+
+
 def missing_sections_of(docs: DataFrame) -> DataFrame:
     """Required sections a document lacks; any row here aborts the run."""
     absent = [F.when(F.col(name).isNull(), name) for name in fv.REQUIRED_SECTIONS]

@@ -618,6 +618,22 @@ SQL: dict[str, str] = {
         coalesce({number('score / i')}, '') || '%' AS value
         FROM (SELECT offer_id, benchmarks_n, score, unnest(range(1, benchmarks_n + 1)) AS i FROM offers)""",
     "card_attributes": _attributes(),
+    "typed_violations": """WITH m AS (
+          SELECT CAST(o_custkey AS VARCHAR) AS run_id, 'ranked_offers' AS section, CAST(o_orderkey AS BIGINT) AS pos, o_orderkey AS k,
+            '/ranked_offers/' || CAST(o_orderkey AS VARCHAR) AS p FROM orders),
+        e AS (SELECT *, CASE WHEN k % 13 = 0 OR k % 11 = 0 THEN p || ': must be object' ELSE concat_ws('; ',
+            CASE WHEN k % 5 = 0 THEN p || ': must have required property ''name''' END,
+            CASE WHEN k % 5 = 1 THEN p || '/name: must be string' END,
+            CASE WHEN k % 5 = 2 THEN p || '/name: must NOT have fewer than 1 characters' END,
+            CASE WHEN k % 7 = 3 THEN p || '/price: must have required property ''input''' END,
+            CASE WHEN k % 7 = 0 THEN p || '/price/input: must be number,null' END,
+            CASE WHEN k % 7 = 1 THEN p || '/price/input: must be >= 0' END,
+            CASE WHEN k % 3 = 1 AND k % 2 = 1 THEN p || '/tags: must be array' END,
+            CASE WHEN k % 3 = 1 AND k % 2 = 0 THEN p || '/tags: must NOT have fewer than 1 items' END,
+            CASE WHEN k % 3 = 0 THEN p || '/tags/1: must be string; ' || p || '/tags/3: must be string' END,
+            CASE WHEN k % 4 = 0 THEN p || '/count: must be integer' END,
+            CASE WHEN k % 4 = 1 THEN p || '/count: must be <= 100' END) END AS detail FROM m)
+        SELECT run_id, section, pos, detail FROM e WHERE detail <> ''""",
     "joined_lists": flat(f"{_LISTS[0]} AS conditions_text, {_LISTS[1]} AS suspicion_text"),
     "updates_list": """SELECT strftime(ts, '%Y-%m-%d') AS run_id, 'product_updates' AS section, event_id AS pos,
         CASE WHEN event_id % 4 = 0 THEN 'user' || CAST(user_id AS VARCHAR) ELSE event_type END AS headline,

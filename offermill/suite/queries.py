@@ -9,7 +9,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from .. import fixed_values as fv, schemas
 from ..functions import dates, policy as P, prices, text as X
-from ..operators import cards, changes, constraints, gates, matching, ranking, rollups
+from ..operators import cards, changes, constraints, gates, matching, ranking, rollups, typed_rules
+from ..operators.typed_rules import Rule
 from ..plans import publish, watchlist
 from ..session import scratch_path
 from ..sources import pages as page_source, registry as registry_source, reports as report_source
@@ -590,6 +591,33 @@ def card_attributes(spark, sf_dir):
     return rows.select("offer_id", F.col("attribute_no").cast("long").alias("attribute_no"), "label", "value")
 
 
+TYPED_RULES = (
+    Rule("name", ("string",), required=True, least_length=1),
+    Rule("price.input", ("number", "null"), required=True, minimum=0),
+    Rule("tags", ("array",), least_items=1, items=("string",)),
+    Rule("count", ("integer",), maximum=100),
+)
+
+
+@query
+def typed_violations(spark, sf_dir):
+    k = F.col("o_orderkey")
+    name = F.when(k % 5 == 0, "").when(k % 5 == 1, '"name": 7, ').when(k % 5 == 2, '"name": "", ')
+    price = F.when(k % 7 == 0, '{"input": "12"}').when(k % 7 == 1, '{"input": -1}').when(k % 7 == 2, '{"input": null}')
+    price = price.when(k % 7 == 3, "{}").otherwise(F.format_string('{"input": %d.5}', k))
+    tags = F.when(k % 3 == 0, '["a", 3, "b", null]').when(k % 3 == 1, F.when(k % 2 == 0, "[]").otherwise('"a"'))
+    count = F.when(k % 4 == 0, "2.5").when(k % 4 == 1, "101").when(k % 4 == 2, "3.0").otherwise("3")
+    entry = F.concat(
+        F.lit("{"), name.otherwise(F.format_string('"name": "n%d", ', k)), F.lit('"price": '), price,
+        F.lit(', "tags": '), tags.otherwise('["a"]'), F.lit(', "count": '), count, F.lit("}"),
+    )
+    rows = fx.table(spark, sf_dir, "orders").select(
+        F.col("o_custkey").cast("string").alias("run_id"), F.lit("ranked_offers").alias("section"), k.cast("long").alias("pos"),
+        F.when(k % 13 == 0, None).when(k % 11 == 0, '"text"').otherwise(entry).alias("raw"),
+    )
+    return typed_rules.typed_violations(rows, TYPED_RULES)
+
+
 @query
 def joined_lists(spark, sf_dir):
     return cards.joined_lists(fx.offers(spark, sf_dir)).select("offer_id", "conditions_text", "suspicion_text")
