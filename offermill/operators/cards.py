@@ -105,7 +105,10 @@ def joined_lists(offers: DataFrame) -> DataFrame:
 
 
 def card_attributes(offers: DataFrame, tz: Column | str | None = None) -> DataFrame:
-    """The optional attributes of each card as (label, value) rows in fixed order."""
+    """The optional attributes of each card as (label, value) rows in fixed order.
+
+    `link` is the page that a value stands on; only the data policy has one.
+    """
 
     def c(name: str) -> Column:
         return F.col(name)
@@ -142,10 +145,15 @@ def card_attributes(offers: DataFrame, tz: Column | str | None = None) -> DataFr
         ("条件", lists["registration_conditions"]),
         ("注意", X.stale_note(c("caution_reason"), c("exclusion_reason"))),
     ]
+    links = {"データポリシー": when_text("data_policy_source")}
+    no_link = F.lit(None).cast("string")
     cells = [
         F.when(
             value.isNotNull(),
-            F.struct(F.lit(i).alias("attribute_no"), F.lit(label).alias("label"), value.alias("value")),
+            F.struct(
+                F.lit(i).alias("attribute_no"), F.lit(label).alias("label"), value.alias("value"),
+                links.get(label, no_link).alias("link"),
+            ),
         )
         for i, (label, value) in enumerate(attributes, 1)
     ]

@@ -316,8 +316,10 @@ def _attributes() -> str:
         ("注意", "coalesce(nullif(caution_reason, ''), CASE WHEN exclusion_reason LIKE '[stale]%'"
                " THEN regexp_replace(exclusion_reason, '^\\[stale\\]\\s*', '') END)"),
     ]
+    links = {"データポリシー": text("data_policy_source")}
     parts = [
-        f"SELECT offer_id, CAST({i} AS BIGINT) AS attribute_no, '{label}' AS label, {sql} AS value FROM offers"
+        f"SELECT offer_id, CAST({i} AS BIGINT) AS attribute_no, '{label}' AS label, {sql} AS value,"
+        f" CAST({links.get(label, 'NULL')} AS VARCHAR) AS link FROM offers"
         for i, (label, sql) in enumerate(rows, 1)
     ]
     return f"WITH {OFFERS} SELECT * FROM ({' UNION ALL '.join(parts)}) WHERE value IS NOT NULL"

@@ -588,7 +588,7 @@ def benchmark_details(spark, sf_dir):
 @query
 def card_attributes(spark, sf_dir):
     rows = cards.card_attributes(fx.offers(spark, sf_dir), "Asia/Tokyo")
-    return rows.select("offer_id", F.col("attribute_no").cast("long").alias("attribute_no"), "label", "value")
+    return rows.select("offer_id", F.col("attribute_no").cast("long").alias("attribute_no"), "label", "value", "link")
 
 
 TYPED_RULES = (
